@@ -34,32 +34,22 @@ def _required(c: str, cast: str) -> Column:
                   F.raise_error(F.lit(f"raw: missing {c}"))).otherwise(F.trim(v).cast(cast))
 
 
-def shape_raw(text: DataFrame) -> DataFrame:
-    """Typed raw rows from the all-text frame; file name and day kept for the store."""
-    out = text.select(
-        _required("square_id", "int").alias("square_id"),
-        _required("time_interval", "long").alias("time_interval"),
-        F.col("country_code"),
-        *[F.col(c).cast("double").alias(c) for c in ("sms_in", "sms_out", "call_in", "call_out")],
-        traffic_value("internet_traffic").alias("internet_traffic"),
-        *[F.col(c) for c in ("source_file", "day") if c in text.columns])
-    return out
-
-
 def read_raw(spark: SparkSession, path: str, keep=("square_id", "time_interval", "internet_traffic")) -> DataFrame:
-    """Scan raw TSV files. Short rows are padded with nulls; the day of each row
-    comes from its file name (``...-YYYY-MM-DD.txt``), not from its UTC timestamp."""
+    """Scan raw TSV files (a file, a directory or a glob).
+
+    Short rows are padded with nulls; only ``keep`` columns are parsed (the scan's
+    ReadSchema is pruned to them). The day of each row comes from its file path
+    (``...YYYY-MM-DD...``), not from its UTC timestamp, so one day-file maps to one
+    store partition.
+    """
     text = (spark.read.schema(RAW_TEXT)
-                 .option("sep", "\t").option("header", False)
-                 .option("mode", "PERMISSIVE").option("nullValue", None)
+                 .option("sep", "\t").option("header", False).option("mode", "PERMISSIVE")
                  .csv(path))
-    text = text.select(*keep, F.col("_metadata.file_name").alias("source_file")) \
-        if set(keep) <= set(RAW_COLUMNS) else text
-    text = text.withColumn("day", F.regexp_extract("source_file", r"(\d{4}-\d{2}-\d{2})", 1))
-    return shape_raw_subset(text, keep)
+    return shape_raw(text, keep)
 
 
-def shape_raw_subset(text: DataFrame, keep) -> DataFrame:
+def shape_raw(text: DataFrame, keep=("square_id", "time_interval", "internet_traffic")) -> DataFrame:
+    """Typed raw rows (S1 + S2) from an all-text frame, with source file, its size and day."""
     cols = []
     for c in keep:
         if c == "square_id":
@@ -72,5 +62,6 @@ def shape_raw_subset(text: DataFrame, keep) -> DataFrame:
             cols.append(F.col(c))
         else:
             cols.append(F.col(c).cast("double").alias(c))
-    extra = [F.col(c) for c in ("source_file", "day") if c in text.columns]
-    return text.select(*cols, *extra)
+    src = F.col("_metadata.file_path")
+    return text.select(*cols, src.alias("source_file"), F.col("_metadata.file_size").alias("_file_size"),
+                       F.regexp_extract(src, r"(\d{4}-\d{2}-\d{2})", 1).alias("day"))
