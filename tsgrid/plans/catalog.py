@@ -568,3 +568,61 @@ FROM t JOIN c USING (event_type)""")
 def q_m6(spark, sf):
     f = hourly_filled(spark, sf).where(F.col("split") == "train")
     return tail_validation(f, HOURLY, 0.1).select("event_type", "ts", "role")
+
+
+# --------------------------------------------------------------------- store
+
+def _events_store(spark, sf):
+    """Write the events-derived raw rows into a fresh store in the shared scratch folder."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.store import build_store
+    store = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    raw = raw_events(spark, sf).select("square_id", "time_interval",
+                                       traffic_value("internet_traffic").alias("internet_traffic"), "day")
+    build_store(raw, store)
+    return store
+
+
+_STORE_SQL = "WITH " + S.RAW_SRC.replace("FROM events)", ", strftime(ts, '%Y-%m-%d') AS day FROM events)") + """,
+st AS (SELECT CAST(square_id AS SMALLINT) AS square_id, time_interval,
+              CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic, day
+       FROM raw GROUP BY square_id, time_interval, day)"""
+
+
+@register("s3_s6_store_roundtrip_events", _STORE_SQL + "\nSELECT * FROM st")
+def q_s3(spark, sf):
+    from ..sources.store import read_store
+    return read_store(spark, _events_store(spark, sf))
+
+
+@register("s7_read_top_area_store", _STORE_SQL + """,
+t AS (SELECT square_id, sum(CAST(internet_traffic AS DOUBLE)) AS tot FROM st GROUP BY 1 HAVING sum(CAST(internet_traffic AS DOUBLE)) <> 0),
+top AS (SELECT square_id FROM t ORDER BY tot DESC, square_id LIMIT 1)
+SELECT st.* FROM st SEMI JOIN top ON st.square_id = top.square_id""")
+def q_s7(spark, sf):
+    from ..sources.store import read_store, read_areas
+    st = read_store(spark, _events_store(spark, sf))
+    t = agg.totals(st, "square_id", "internet_traffic")
+    top = [r["square_id"] for r in agg.top_key(t, "square_id", "total_internet_traffic", 1).collect()]
+    return read_areas(st, top)
+
+
+@register("s8_totals_table_store", _STORE_SQL + """
+SELECT square_id, round(sum(CAST(internet_traffic AS DOUBLE)), 4) AS total_internet_traffic
+FROM st GROUP BY 1 HAVING sum(CAST(internet_traffic AS DOUBLE)) <> 0""")
+def q_s8(spark, sf):
+    import os
+    from ..sources.store import read_store, totals_table
+    store = _events_store(spark, sf)
+    t = totals_table(read_store(spark, store), os.path.join(store + "-totals"))
+    return t.select("square_id", r("total_internet_traffic", 4))
+
+
+@register("s4_store_report_events", _STORE_SQL + """
+SELECT day, count(*) AS aggregated_rows FROM st GROUP BY 1""")
+def q_s4(spark, sf):
+    store = _events_store(spark, sf)
+    st = spark.read.option("basePath", store).parquet(store)
+    return (st.select("day", F.col("_metadata.file_path").alias("_f"))
+              .groupBy("day").agg(F.count(F.lit(1)).alias("aggregated_rows")))
