@@ -626,3 +626,32 @@ def q_s4(spark, sf):
     st = spark.read.option("basePath", store).parquet(store)
     return (st.select("day", F.col("_metadata.file_path").alias("_f"))
               .groupBy("day").agg(F.count(F.lit(1)).alias("aggregated_rows")))
+
+
+# --------------------------------------------------------------------- stationarity
+
+@register("w11_adf_hourly")
+def q_w11(spark, sf):
+    """ADF with AIC lag search per series (no SQL oracle: lag search + MacKinnon p-values;
+    checked against a numpy least-squares implementation in tests/test_stats.py)."""
+    from ..operators.adf import adf
+    a = adf(hourly(spark, sf), HOURLY)
+    return a.select("event_type", r("adf_stat"), r("pvalue"), "used_lag", "nobs", r("crit_1"), r("crit_5"),
+                    r("crit_10"), r("ic_best"), "stationary")
+
+
+@register("w11_adf_fixed_lag0_hourly", _HR_POS + """,
+d AS (SELECT event_type, y - lag(y) OVER w AS dy, lag(y) OVER w AS yl FROM hp
+      WINDOW w AS (PARTITION BY event_type ORDER BY pos)),
+g AS (SELECT event_type, regr_count(dy, yl) AS nobs, regr_slope(dy, yl) AS b, regr_sxx(dy, yl) AS sxx,
+             regr_syy(dy, yl) - regr_sxy(dy, yl) * regr_sxy(dy, yl) / regr_sxx(dy, yl) AS ssr FROM d GROUP BY 1)
+SELECT event_type, round(b / sqrt(ssr / (nobs - 2) / sxx), 6) AS adf_stat, CAST(0 AS BIGINT) AS used_lag,
+  CAST(nobs AS BIGINT) AS nobs,
+  round(-3.43035 - 6.5393 / nobs - 16.786 / (nobs * nobs) - 79.433 / (nobs * nobs * nobs), 6) AS crit_1,
+  round(-2.86154 - 2.8903 / nobs - 4.234 / (nobs * nobs) - 40.04 / (nobs * nobs * nobs), 6) AS crit_5,
+  round(-2.56677 - 1.5384 / nobs - 2.809 / (nobs * nobs), 6) AS crit_10
+FROM g""")
+def q_w11_0(spark, sf):
+    from ..operators.adf import adf
+    a = adf(hourly(spark, sf), HOURLY, maxlag=0, autolag=False)
+    return a.select("event_type", r("adf_stat"), "used_lag", "nobs", r("crit_1"), r("crit_5"), r("crit_10"))

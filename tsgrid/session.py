@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, app: str = "tsgrid",
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode runs everything in the driver JVM
+        conf["spark.driver.memory"] = "12g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
