@@ -52,6 +52,45 @@ def acf(df: DataFrame, spec: SeriesSpec, nlags: int = 200) -> DataFrame:
              .withColumn("significant", F.abs(F.col("acf")) > F.col("band")))
 
 
+def levinson_phi(r: np.ndarray, order: int):
+    """AR(order) coefficients and innovation variance from autocovariances (Yule-Walker)."""
+    phi = np.zeros(order + 1)
+    v = float(r[0])
+    for k in range(1, order + 1):
+        if v <= 0:
+            break
+        a = (r[k] - np.dot(phi[1:k], r[1:k][::-1])) / v
+        new = phi.copy()
+        new[k] = a
+        new[1:k] = phi[1:k] - a * phi[1:k][::-1]
+        phi = new
+        v = v * (1 - a * a)
+    return phi[1:], v
+
+
+def yule_walker(df: DataFrame, spec: SeriesSpec, order: int) -> DataFrame:
+    """Per key: mean ``mu``, AR coefficients ``phi`` (lag 1..order) and ``sigma2`` from the
+    biased autocovariances s_k / n of the non-null values."""
+    m = lag_moments(df, spec, order)
+    mu = df.dropna(subset=[spec.value]).groupBy(*spec.keys).agg(F.avg(spec.value).alias("mu"))
+    keys = spec.keys
+    kt = ", ".join(f"`{k}` {t}" for k, t in m.select(*keys).dtypes)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("lag")
+        r = pdf["s"].to_numpy(dtype=float) / float(pdf["n"].iloc[0])
+        if len(r) < order + 1:
+            r = np.concatenate([r, np.zeros(order + 1 - len(r))])
+        phi, v = levinson_phi(r, order)
+        out = pdf[keys].iloc[:1].copy()
+        out["phi"] = [phi.tolist()]
+        out["sigma2"] = v
+        return out
+
+    res = m.groupBy(*keys).applyInPandas(fit, f"{kt}, phi array<double>, sigma2 double")
+    return res.join(mu, on=keys)
+
+
 def _durbin_levinson(r: np.ndarray) -> np.ndarray:
     """PACF from autocovariances r[0..K] (Yule-Walker at every order)."""
     K = len(r) - 1

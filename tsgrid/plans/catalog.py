@@ -655,3 +655,67 @@ def q_w11_0(spark, sf):
     from ..operators.adf import adf
     a = adf(hourly(spark, sf), HOURLY, maxlag=0, autolag=False)
     return a.select("event_type", r("adf_stat"), "used_lag", "nobs", r("crit_1"), r("crit_5"), r("crit_10"))
+
+
+# --------------------------------------------------------------------- ARIMA
+
+_AR1_SQL = "WITH " + ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf")]) + """,
+l AS (SELECT event_type, ts, y, lag(y) OVER (PARTITION BY event_type ORDER BY pos) AS yl FROM hf),
+fit AS (SELECT event_type, regr_intercept(y, yl) AS c, regr_slope(y, yl) AS phi, regr_count(y, yl) AS nobs
+        FROM l WHERE ts < TIMESTAMP '2024-01-24' GROUP BY 1)"""
+
+
+@register("m1_ar1_fit_hourly", _AR1_SQL + """
+SELECT event_type, round(c, 6) AS const, round(phi, 6) AS phi, CAST(nobs AS BIGINT) AS nobs FROM fit""")
+def q_m1_ar1(spark, sf):
+    from ..operators.arima import fit_arima
+    p = fit_arima(hourly_filled(spark, sf), HOURLY, (1, 0, 0), (0, 0, 0))
+    return p.select("event_type", F.round(F.col("beta")[0], 6).alias("const"),
+                    F.round(F.col("beta")[1], 6).alias("phi"), "nobs")
+
+
+@register("m3_ar1_forecast_hourly", _AR1_SQL + """
+SELECT l.event_type, l.ts, 'SARIMA' AS model, round(l.y, 6) AS y, round(c + phi * yl, 6) AS yhat
+FROM l JOIN fit USING (event_type) WHERE l.ts >= TIMESTAMP '2024-01-24'""")
+def q_m3_ar1(spark, sf):
+    from ..operators.arima import forecast_arima
+    preds, _ = forecast_arima(hourly_filled(spark, sf), HOURLY, (1, 0, 0), (0, 0, 0))
+    return preds.select("event_type", "ts", "model", r("y"), r("yhat"))
+
+
+@register("m1_m3_sarima_metrics_hourly")
+def q_m13(spark, sf):
+    """SARIMA(1,1,1)(1,1,1,24) least-squares fit on train, one-step forecasts on test, metrics
+    next to the two baselines (no SQL oracle: long-AR innovations + per-key solves;
+    parameter recovery and causality are checked in tests/test_arima.py)."""
+    from ..operators.arima import forecast_arima
+    f = hourly_filled(spark, sf)
+    preds, _ = forecast_arima(f, HOURLY, (1, 1, 1), (1, 1, 1))
+    allp = preds.unionByName(persistence(f, HOURLY)).unionByName(seasonal_naive(f, HOURLY))
+    return evaluate(allp, by=["event_type", "model"])
+
+
+@register("m2_order_search_hourly")
+def q_m2(spark, sf):
+    """AIC order search on the last 7 days of train of every series (J4 grid, reference ranges,
+    cap 24, stratified prune)."""
+    from ..operators.arima import arima_order_search, candidate_grid
+    grid = candidate_grid(spark, s=HOURLY.period, max_combos=24, prune="stratified")
+    res = arima_order_search(hourly_filled(spark, sf), HOURLY, grid, subsample=7 * HOURLY.period)
+    return res.select("event_type", "candidate_id", "order", "seasonal_order", r("aic"), r("bic"),
+                      "converged", "error", "rank")
+
+
+@register("m12_select_order_hourly")
+def q_m12(spark, sf):
+    """Order chosen on the busiest series and reused for all (reference), next to best per key."""
+    from ..operators.arima import arima_order_search, candidate_grid, select_order
+    grid = candidate_grid(spark, s=HOURLY.period, max_combos=24, prune="stride")
+    res = arima_order_search(hourly_filled(spark, sf), HOURLY, grid, subsample=7 * HOURLY.period)
+    top = agg.top_key(agg.totals(hourly(spark, sf), "event_type", "y", name="total"), "event_type", "total")
+    ref = [row["event_type"] for row in top.collect()][0]
+    per_key = select_order(res, ["event_type"]).select("event_type", F.lit("per_key").alias("policy"),
+                                                       "candidate_id", "order", "seasonal_order")
+    shared = select_order(res, ["event_type"], ref_key=ref).select(
+        "event_type", F.lit("reference_key").alias("policy"), "candidate_id", "order", "seasonal_order")
+    return per_key.unionByName(shared)
