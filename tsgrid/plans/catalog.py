@@ -719,3 +719,115 @@ def q_m12(spark, sf):
     shared = select_order(res, ["event_type"], ref_key=ref).select(
         "event_type", F.lit("reference_key").alias("policy"), "candidate_id", "order", "seasonal_order")
     return per_key.unionByName(shared)
+
+
+# --------------------------------------------------------------------- window regressors (M5-M10), timing
+
+WINDOW_LEN = 24
+
+
+@register("m5_m8_window_linear_hourly")
+def q_m5(spark, sf):
+    """Pooled MLlib linear regression on scaled 24-lag windows of every series; test metrics
+    next to the baselines (no SQL oracle: iterative L-BFGS fit)."""
+    from ..operators.regressor import run_window_model
+    f = hourly_filled(spark, sf)
+    preds, _, _, _, _ = run_window_model(spark, f, HOURLY, WINDOW_LEN, "linear")
+    allp = preds.unionByName(persistence(f, HOURLY)).unionByName(seasonal_naive(f, HOURLY))
+    return evaluate(allp, by=["event_type", "model"])
+
+
+@register("m5_window_gbt_hourly")
+def q_m5g(spark, sf):
+    """Pooled gradient-boosted trees on the same windows (the non-linear learned model)."""
+    from ..operators.regressor import run_window_model
+    f = hourly_filled(spark, sf)
+    preds, _, _, _, _ = run_window_model(spark, f, HOURLY, WINDOW_LEN, "gbt", {"maxDepth": 4, "maxIter": 20})
+    return evaluate(preds, by=["event_type", "model"])
+
+
+@register("m7_random_search_hourly")
+def q_m7(spark, sf):
+    """Six seeded trials over the linear model's space, ranked by validation-tail MSE."""
+    from ..operators.regressor import random_search, scaled_windows
+    windows, _ = scaled_windows(hourly_filled(spark, sf), HOURLY, WINDOW_LEN)
+    return random_search(spark, windows, "linear", n_trials=6, seed=42)
+
+
+@register("m9_loss_curve_hourly")
+def q_m9(spark, sf):
+    """Train and validation squared error after each boosting round (and the linear objective)."""
+    from ..operators.regressor import fit_window_regressor, loss_curve, scaled_windows
+    windows, _ = scaled_windows(hourly_filled(spark, sf), HOURLY, WINDOW_LEN)
+    lin, _ = fit_window_regressor(windows, "linear", {"maxIter": 50})
+    gbt, _ = fit_window_regressor(windows, "gbt", {"maxDepth": 3, "maxIter": 15})
+    return (loss_curve(spark, lin, windows, "linear").withColumn("model", F.lit("LinearWindow"))
+            .unionByName(loss_curve(spark, gbt, windows, "gbt").withColumn("model", F.lit("GBTWindow"))))
+
+
+def forecast_all(spark, sf):
+    """Every forecaster over all series; returns (predictions, fit log). Timings are taken
+    around eager, checkpointed steps so they measure real work."""
+    import time
+    from ..operators.arima import forecast_arima
+    from ..operators.regressor import run_window_model
+    from ..session import cut_lineage
+    f = hourly_filled(spark, sf)
+    logs = []
+    parts = []
+    for name, fn in (("Persistence", persistence), ("SeasonalNaive", seasonal_naive)):
+        t0 = time.perf_counter()
+        p = cut_lineage(fn(f, HOURLY))
+        logs.append(("pooled", name, 0.0, time.perf_counter() - t0))
+        parts.append(p)
+    t0 = time.perf_counter()
+    p, _ = forecast_arima(f, HOURLY, (1, 1, 1), (1, 1, 1))
+    p = cut_lineage(p)
+    logs.append(("pooled", "SARIMA", time.perf_counter() - t0, 0.0))
+    parts.append(p)
+    p, log, _, _, _ = run_window_model(spark, f, HOURLY, WINDOW_LEN, "linear")
+    logs += [tuple(r) for r in log.collect()]
+    parts.append(p)
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
+    log_df = spark.createDataFrame(logs, "key string, model string, train_s double, infer_s double")
+    return preds, log_df
+
+
+@register("a16_m10_timing_hourly")
+def q_a16(spark, sf):
+    """Mean train / inference seconds per model (times vary run to run: rows-only)."""
+    _, log = forecast_all(spark, sf)
+    return agg.timing_summary(log)
+
+
+def _metrics_csv_sql():
+    return S.hourly_preds() + """
+SELECT event_type, model AS "Model", round(avg(abs(y - yhat)), 4) AS "MAE",
+  round(avg(abs((y - yhat) / (abs(y) + 1e-8))) * 100, 2) AS "MAPE (%)",
+  round(sqrt(avg((y - yhat) * (y - yhat))), 4) AS "RMSE"
+FROM pr GROUP BY 1, 2"""
+
+
+@register("s9_report_csv_hourly", _metrics_csv_sql())
+def q_s9(spark, sf):
+    import uuid
+    from ..session import scratch_path
+    from ..sources.sinks import METRIC_HEADERS, write_report
+    m = evaluate(hourly_preds(spark, sf), by=["event_type", "model"]).drop("n")
+    path = scratch_path(spark, f"report-{uuid.uuid4().hex}")
+    write_report(m, path, METRIC_HEADERS, per="event_type")
+    schema = "Model string, MAE double, `MAPE (%)` double, RMSE double, event_type string"
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
+@register("s10_save_run_hourly", S.hourly_preds() + f"\nSELECT event_type, model, {S.METRICS} FROM pr GROUP BY 1, 2")
+def q_s10(spark, sf):
+    import uuid
+    from ..session import scratch_path
+    from ..sources.sinks import load_run, save_run
+    preds = hourly_preds(spark, sf)
+    run = scratch_path(spark, f"run-{uuid.uuid4().hex}")
+    save_run(run, {"predictions": preds, "metrics": evaluate(preds, by=["event_type", "model"])})
+    return load_run(spark, run, ["metrics"])["metrics"]
