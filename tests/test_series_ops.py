@@ -89,7 +89,7 @@ def test_baselines(spark):
 def test_seasonal_naive_short_train(spark):
     rows = [("a", m(10 * i), float(i)) for i in range(6)]
     f = split_by_time(fill_missing(frame(spark, rows), SPEC), SPEC, m(20))  # train = 2 < period 3
-    with pytest.raises(Exception, match="shorter than seasonal period"):
+    with pytest.raises(Exception, match="train series shorter than 3"):
         seasonal_naive(f, SPEC).collect()
 
 

@@ -10,6 +10,13 @@ from ..plans.blocks import POS, carry
 from ..spec import SeriesSpec
 
 
+def _all_not_null(cols):
+    cond = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def regularize(df: DataFrame, spec: SeriesSpec, on_duplicate: str = "error") -> DataFrame:
     """Reindex every series onto min..max at ``spec.step``; adds ``_pos``.
 
@@ -25,6 +32,9 @@ def regularize(df: DataFrame, spec: SeriesSpec, on_duplicate: str = "error") ->
     if on_duplicate not in ("error", "sum"):
         raise ValueError("on_duplicate must be 'error' or 'sum'")
     k, B, step = spec.keys, spec.block, spec.step_seconds
+    # a series needs a key and a time; dropping nulls here also keeps the constraints of
+    # every later branch identical, so Spark can reuse this exchange across them
+    df = df.where(_all_not_null([*k, spec.time]))
     obs = df.select(*k, epoch_seconds(spec.time).alias("_t"),
                     F.col(spec.value).cast("double").alias("_v"))
     bounds = obs.groupBy(*k).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators.anomalies import top_outliers, zscore_outliers
-from ..operators.baselines import persistence, seasonal_naive
+from ..operators.baselines import baselines, persistence, seasonal_naive
 from ..operators.correlogram import acf, pacf
 from ..operators.decompose import decompose
 from ..operators.errors import compare, error_by, error_cdf, error_quantiles, evaluate, worst_points
@@ -61,12 +61,12 @@ def daily_filled(spark, sf):
 
 def hourly_preds(spark, sf):
     f = hourly_filled(spark, sf)
-    return persistence(f, HOURLY).unionByName(seasonal_naive(f, HOURLY))
+    return baselines(f, HOURLY)
 
 
 def daily_preds(spark, sf):
     f = daily_filled(spark, sf)
-    return persistence(f, DAILY).unionByName(seasonal_naive(f, DAILY))
+    return baselines(f, DAILY)
 
 
 def raw_typed(spark, sf):
@@ -691,7 +691,7 @@ def q_m13(spark, sf):
     from ..operators.arima import forecast_arima
     f = hourly_filled(spark, sf)
     preds, _ = forecast_arima(f, HOURLY, (1, 1, 1), (1, 1, 1))
-    allp = preds.unionByName(persistence(f, HOURLY)).unionByName(seasonal_naive(f, HOURLY))
+    allp = preds.unionByName(baselines(f, HOURLY))
     return evaluate(allp, by=["event_type", "model"])
 
 
@@ -733,7 +733,7 @@ def q_m5(spark, sf):
     from ..operators.regressor import run_window_model
     f = hourly_filled(spark, sf)
     preds, _, _, _, _ = run_window_model(spark, f, HOURLY, WINDOW_LEN, "linear")
-    allp = preds.unionByName(persistence(f, HOURLY)).unionByName(seasonal_naive(f, HOURLY))
+    allp = preds.unionByName(baselines(f, HOURLY))
     return evaluate(allp, by=["event_type", "model"])
 
 
