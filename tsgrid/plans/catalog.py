@@ -831,3 +831,39 @@ def q_s10(spark, sf):
     run = scratch_path(spark, f"run-{uuid.uuid4().hex}")
     save_run(run, {"predictions": preds, "metrics": evaluate(preds, by=["event_type", "model"])})
     return load_run(spark, run, ["metrics"])["metrics"]
+
+
+# --------------------------------------------------------------------- forecast zoom (J3 + P8), streaming ingest
+
+@register("j3_p8_forecast_zoom_hourly",
+          "WITH " + ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf"),
+                                S.preds("hf", "event_type", 24, "2024-01-24")]) + """
+SELECT a.event_type, a.ts, round(a.y, 6) AS actual, p.model, round(p.yhat, 6) AS yhat
+FROM hf a JOIN pr p ON a.event_type = p.event_type AND a.ts = p.ts
+WHERE a.ts BETWEEN TIMESTAMP '2024-01-26' AND TIMESTAMP '2024-01-27'""")
+def q_j3(spark, sf):
+    """Forecast against actual for a zoom window: inner equi-join on (key, time), no positions."""
+    f = hourly_filled(spark, sf)
+    actual = between_time(f, HOURLY, "2024-01-26", "2024-01-27").select(
+        "event_type", "ts", F.round("y", 6).alias("actual"))
+    p = between_time(baselines(f, HOURLY), HOURLY, "2024-01-26", "2024-01-27").select("event_type", "ts", "model",
+                                                                                     r("yhat"))
+    return actual.join(p, on=["event_type", "ts"], how="inner")
+
+
+@register("s11_stream_ingest_events", _STORE_SQL + "\nSELECT * FROM st")
+def q_s11(spark, sf):
+    """Raw day-files (events as tab-separated text, one folder per day) ingested by the
+    availableNow streaming job into a fresh store, then read back."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.store import read_store
+    from ..streaming.ingest import ingest_available
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    raw_dir, store, ck = f"{base}/raw", f"{base}/store", f"{base}/checkpoint"
+    raw = raw_events(spark, sf)
+    (raw.select("square_id", "time_interval", "country_code", "sms_in", "sms_out", "call_in", "call_out",
+                "internet_traffic", "day")
+        .write.mode("overwrite").partitionBy("day").option("sep", "\t").option("header", False).csv(raw_dir))
+    ingest_available(spark, f"{raw_dir}/*/", store, ck)
+    return read_store(spark, store)
