@@ -52,16 +52,36 @@ def top_key(totals_df: DataFrame, key: str = "square_id", total: str = "total_in
                      .orderBy(F.col(total).desc(), F.col(key).asc()).limit(n))
 
 
+def exact_quantiles(df: DataFrame, col: str, qs, by=(), names=None, block: int = 8192) -> DataFrame:
+    """Linear-interpolated quantiles (pandas / quantile_cont) per group, exactly, without
+    holding a group's values in one task: rows are ranked with ``value_ranks`` and the
+    two order statistics around (n-1)q are picked by conditional partial aggregates."""
+    from ..plans.blocks import value_ranks
+    by = list(by)
+    names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
+    x = value_ranks(df.select(*by, F.col(col).cast("double").alias("_v")), by, "_v", block=block,
+                    rank_col="_r", n_col="_n")
+    aggs = []
+    for i, q in enumerate(qs):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        lo, hi = F.floor(h), F.ceil(h)
+        pos = F.col("_r") - 1
+        aggs += [F.max(F.when(pos == lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(pos == hi, F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(h - lo).alias(f"_fr{i}")]
+    g = x.groupBy(*by).agg(*aggs)
+    return g.select(*by, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(nm)
+                           for i, nm in enumerate(names)])
+
+
 def describe_values(df: DataFrame, col: str, by=()) -> DataFrame:
     """A4: count, mean, sample std, min, linear-interpolated quartiles, max."""
     v = F.col(col).cast("double")
-    qs = F.percentile(v, [0.25, 0.5, 0.75])
     x = df.groupBy(*by).agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
-                            F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-                            qs.alias("_q"), F.max(v).alias("max"))
-    return x.select(*by, "count", "mean", "std", "min",
-                    F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                    F.col("_q")[2].alias("p75"), "max")
+                            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["p25", "p50", "p75"])
+    x = x.join(q, on=list(by)) if by else x.crossJoin(q)
+    return x.select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def shape(df: DataFrame, col: str, by=()) -> DataFrame:
@@ -81,12 +101,11 @@ def shape(df: DataFrame, col: str, by=()) -> DataFrame:
 def spread(df: DataFrame, col: str, by=()) -> DataFrame:
     """Median and mean markers, peak-to-median ratio and the IQR."""
     v = F.col(col).cast("double")
-    x = df.groupBy(*by).agg(F.percentile(v, [0.25, 0.5, 0.75]).alias("_q"), F.avg(v).alias("mean"),
-                            F.max(v).alias("max"))
-    return x.select(*by, F.col("_q")[1].alias("median"), "mean", "max",
-                    (F.col("max") / F.col("_q")[1]).alias("peak_to_median"),
-                    F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75"),
-                    (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"))
+    x = df.groupBy(*by).agg(F.avg(v).alias("mean"), F.max(v).alias("max"))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q25", "median", "q75"])
+    x = x.join(q, on=list(by)) if by else x.crossJoin(q)
+    return x.select(*by, "median", "mean", "max", (F.col("max") / F.col("median")).alias("peak_to_median"),
+                    "q25", "q75", (F.col("q75") - F.col("q25")).alias("iqr"))
 
 
 def kde(df: DataFrame, col: str, by=(), points: int = KDE_POINTS, cut: float = KDE_CUT) -> DataFrame:

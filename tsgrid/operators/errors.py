@@ -47,28 +47,23 @@ def error_by(preds: DataFrame, keys, unit: str = "hour", time: str = "ts", wide:
 
 def error_cdf(preds: DataFrame, keys) -> DataFrame:
     """Sorted |e| with cdf = (i-1)/n per (keys, model); ties broken by time."""
+    from ..plans.blocks import value_ranks
     g = [*keys, "model"]
-    x = preds.withColumn("abs_err", abs_err())
-    n = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*g).orderBy("abs_err", "ts")
-    return (x.withColumn("rank", F.row_number().over(w))
-             .join(n, on=g)
-             .withColumn("cdf", (F.col("rank") - 1) / F.col("_n"))
-             .drop("_n"))
+    x = value_ranks(preds.withColumn("abs_err", abs_err()), g, "abs_err", tie_cols=("ts",))
+    return x.withColumn("cdf", (F.col("rank") - 1) / F.col("_n")).drop("_n")
 
 
 def error_quantiles(preds: DataFrame, keys, qs=(0.5, 0.9, 0.95)) -> DataFrame:
     """Exact linear-interpolated quantiles of |e| per (keys, model)."""
-    x = preds.withColumn("_ae", abs_err())
-    aggs = [F.percentile("_ae", q).alias(f"q{int(round(q * 100)):02d}") for q in qs]
-    return x.groupBy(*keys, "model").agg(*aggs)
+    from .aggregates import exact_quantiles
+    return exact_quantiles(preds.withColumn("_ae", abs_err()), "_ae", list(qs), by=[*keys, "model"])
 
 
 def worst_points(preds: DataFrame, keys) -> DataFrame:
     """T-3: first arg-max of |e| per (keys, model) with its timestamp.
 
-    ``max_by`` on a struct (|e|, -epoch) is a plain partial aggregate: the earliest
-    time wins ties, and no group is sorted or buffered.
+    ``max`` of the struct (|e|, -epoch, ...) is a plain partial aggregate: the largest
+    error wins, the earliest time breaks ties, and no group is sorted or buffered.
     """
     x = preds.withColumn("abs_err", abs_err())
     best = F.max(F.struct(F.col("abs_err"), (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("_nt"),

@@ -161,3 +161,34 @@ def carry(df: DataFrame, spec: SeriesSpec, item: Column,
         out = out.withColumn(first, F.coalesce("_in_f", "_c_f"))
     drop = [c for c in ("_it", "_in_l", "_in_f", "_c_l", "_c_f", BLK, OWN) if c in out.columns]
     return out.drop(*drop)
+
+
+def value_ranks(df: DataFrame, group, order_col: str, tie_cols=(), block: int = 8192,
+                rank_col: str = "rank", n_col: str = "_n") -> DataFrame:
+    """Exact 1-based rank of each row within ``group`` ordered by (order_col, tie_cols),
+    without sorting a whole group in one task.
+
+    Each group's value range is cut into ceil(n / block) equal-width buckets (a
+    monotone map, so bucket order is value order); row_number runs within
+    (group, bucket) and each bucket is offset by the running count of the buckets
+    below it, taken from the per-bucket count table. Null values get no rank.
+    Also adds the group size ``n_col``.
+    """
+    group = list(group)
+    v = F.col(order_col).cast("double")
+    x = df.where(F.col(order_col).isNotNull())
+    st = x.groupBy(*group).agg(F.count(F.lit(1)).alias(n_col), F.min(v).alias("_vlo"), F.max(v).alias("_vhi"))
+    nb = F.greatest(F.lit(1), F.ceil(F.col(n_col) / F.lit(block))).cast("long")
+    span = F.col("_vhi") - F.col("_vlo")
+    bucket = F.when(span <= 0, F.lit(0)).otherwise(
+        F.least(nb - 1, F.floor((v - F.col("_vlo")) / span * nb))).cast("long")
+    x = (x.join(st, on=group) if group else x.crossJoin(F.broadcast(st))).withColumn("_vb", bucket)
+    counts = x.groupBy(*group, "_vb").agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*group).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1) if group else \
+        Window.orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, "_vb", F.coalesce(F.sum("_c").over(run), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*group, "_vb").orderBy(F.col(order_col), *[F.col(c) for c in tie_cols])
+    x = x.withColumn("_rn", F.row_number().over(w))
+    return (x.join(offsets, on=[*group, "_vb"])
+             .withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("long"))
+             .drop("_vb", "_rn", "_off", "_vlo", "_vhi"))
