@@ -40,6 +40,7 @@ def get_spark(master: str | None = None, app: str = "tsgrid",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     for k in ("spark.sql.session.timeZone",):
         spark.conf.set(k, conf[k])
     return spark
@@ -69,3 +70,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: dict = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tsgrid`` importable in every Python worker (executors run the per-task
+    numpy steps and per-key solves defined in this package).
+
+    The package is zipped once per driver process and handed to ``addPyFile``;
+    Spark distributes it to the executors. A no-op when already shipped.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    key = id(sc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tsgrid-pyfiles-"), "tsgrid.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED[key] = out
