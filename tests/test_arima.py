@@ -75,3 +75,26 @@ def test_candidate_grid_stride_reproduces_reference(spark):
     assert {(r["sp"], r["sd"], r["sq"]) for r in g18} == {(0, 0, 0)}
     g = candidate_grid(spark, max_combos=18, prune="stratified").collect()
     assert len(g) == 18 and len({(r["sp"], r["sd"], r["sq"]) for r in g}) == 8
+
+
+def test_batched_order_search_equals_single_fits(spark):
+    from tsgrid.operators.arima import arima_order_search
+    sp = SPEC.with_(period=6)
+    x = {"a": sim_arma(160, 0.5, 0.3, 11) + np.tile(np.arange(6), 27)[:160],
+         "b": sim_arma(160, -0.3, 0.2, 12)}
+    rows = [(k, T0 + dt.timedelta(hours=i), float(v)) for k, vals in x.items() for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, y double")
+    f = split_by_time(fill_missing(df, sp), sp, T0 + dt.timedelta(hours=150))
+    grid = candidate_grid(spark, (0, 1), (0, 1), (0, 1), (0, 1), (0, 1), (0, 1), s=6, max_combos=8,
+                          prune="stratified")
+    res = {(r["k"], r["candidate_id"]): r for r in arima_order_search(f, sp, grid).collect()}
+    assert len(res) == 16
+    for c in grid.collect():
+        single = {r["k"]: r for r in fit_arima(f, sp, (c.p, c.d, c.q), (c.sp, c.sd, c.sq)).collect()}
+        for k, r in single.items():
+            b = res[(k, c.candidate_id)]
+            assert b["converged"] == r["converged"]
+            if r["converged"]:
+                assert b["aic"] == pytest.approx(r["aic"], rel=1e-9)
+    ranks = sorted(r["rank"] for (k, _), r in res.items() if k == "a")
+    assert ranks == list(range(1, 9))

@@ -215,46 +215,169 @@ def candidate_grid(spark: SparkSession, p_range=(0, 1, 2), d_range=(0, 1), q_ran
     return g.select("candidate_id", *names, F.lit(s).alias("s"))
 
 
-def arima_order_search(df: DataFrame, spec: SeriesSpec, grid: DataFrame, subsample: int | None = None,
-                       split_col: str = "split", long_ar: int | None = None, parallel: int = 4) -> DataFrame:
-    """M2: fit every candidate on the last ``subsample`` train rows of every series; rank by AIC.
+def _binom(n: int, k: int) -> int:
+    return math.comb(n, k) if 0 <= k <= n else 0
+
 
-    The candidate table is tiny and fixed (it is the search space, not data), so it is
-    read once on the driver and each candidate runs as a distributed fit over all keys.
-    Rows: key, candidate_id, order, seasonal_order, aic, bic, fit_seconds, converged,
-    error, rank (1 = best per key, ties by candidate_id).
+def arima_order_search(df: DataFrame, spec: SeriesSpec, grid: DataFrame, subsample: int | None = None,
+                       split_col: str = "split", long_ar: int | None = None) -> DataFrame:
+    """M2: fit every candidate on the last ``subsample`` train rows of every series, in ONE
+    job keyed by (key, candidate_id); rank by AIC (1 = best per key, ties by candidate_id).
+
+    The candidate table is the search space (at most max_combos rows, a proven small
+    bound): its rows become one struct array that every data row is exploded over.
+    Lag offsets are the static union over the space; each candidate's differencing
+    coefficients, regressor mask and long-AR order are column values, so the
+    differencing, the long AR (Yule-Walker), the innovations, the regressors, the Gram
+    matrices and the solves all run once for all (key, candidate) pairs.
+    Rows: key, candidate_id, order, seasonal_order, aic, bic, converged, error, rank.
     """
-    from ..session import cut_lineage
+    from .correlogram import lag_moments, levinson_phi
     from .select import tail_rows
+    cands = [r.asDict() for r in grid.orderBy("candidate_id").collect()]  # <= max_combos rows
+    s = int(cands[0]["s"])
+    if any(int(c["s"]) != s for c in cands):
+        raise ValueError("one seasonal period per search")
+    dmax = max(c["d"] for c in cands)
+    Dmax = max(c["sd"] for c in cands)
+    ar_u = sorted(set(range(1, max(c["p"] for c in cands) + 1)) |
+                  {s * i for i in range(1, max(c["sp"] for c in cands) + 1)})
+    ma_u = sorted(set(range(1, max(c["q"] for c in cands) + 1)) |
+                  {s * i for i in range(1, max(c["sq"] for c in cands) + 1)})
+    diff_u = sorted({j + s * i for j in range(dmax + 1) for i in range(Dmax + 1)})
+    reach_max = max(ar_u + ma_u) if (ar_u or ma_u) else 0
+    m_max = long_ar or max(10, reach_max + len(ar_u) + len(ma_u) + 1)
+    k = 2 + len(ar_u) + len(ma_u)
+
+    def coef(c, lag):
+        tot = 0
+        for j in range(c["d"] + 1):
+            for i in range(c["sd"] + 1):
+                if j + s * i == lag:
+                    tot += _binom(c["d"], j) * (-1) ** j * _binom(c["sd"], i) * (-1) ** i
+        return float(tot)
+
+    def cand_struct(c):
+        ar = [(lag <= c["p"]) if lag < s else (lag // s <= c["sp"] and lag % s == 0) for lag in ar_u]
+        ma = [(lag <= c["q"]) if lag < s else (lag // s <= c["sq"] and lag % s == 0) for lag in ma_u]
+        n_ar, n_ma = sum(ar), sum(ma)
+        has_ma = n_ma > 0
+        m_c = (long_ar or max(10, max([lg for lg, on in zip(ar_u + ma_u, ar + ma) if on] or [0]) + n_ar + n_ma + 1)) \
+            if has_ma else 0
+        sel = [0] + [1 + i for i, on in enumerate(ar) if on] + [1 + len(ar_u) + i for i, on in enumerate(ma) if on]
+        return F.struct(F.lit(int(c["candidate_id"])).alias("candidate_id"),
+                        F.array(*[F.lit(coef(c, lag)) for lag in diff_u]).alias("dc"),
+                        F.lit(c["d"] + s * c["sd"]).alias("reach"),
+                        F.array(*[F.lit(v) for v in ar]).alias("arm"),
+                        F.array(*[F.lit(v) for v in ma]).alias("mam"),
+                        F.lit(m_c).alias("m"),
+                        F.array(*[F.lit(i) for i in sel]).alias("sel"),
+                        F.array(*[F.lit(int(v)) for v in (c["p"], c["d"], c["q"])]).alias("order"),
+                        F.array(*[F.lit(int(v)) for v in (c["sp"], c["sd"], c["sq"], s)]).alias("seasonal_order"))
+
     train = df.where(F.col(split_col) == "train")
     if subsample:
         train = tail_rows(train, spec, subsample)
-        # positions restart at 0 so the lag windows see a contiguous series
         first = train.groupBy(*spec.keys).agg(F.min(POS).alias("_p0"))
         train = train.join(first, on=spec.keys).withColumn(POS, F.col(POS) - F.col("_p0")).drop("_p0")
-    cands = grid.orderBy("candidate_id").collect()  # the search space: at most max_combos rows
-
-    def one(c):
-        order, seas = (c["p"], c["d"], c["q"]), (c["sp"], c["sd"], c["sq"])
-        t0 = time.perf_counter()
-        par = fit_arima(train, spec.with_(period=c["s"]), order, seas, split_col, long_ar)
-        par = par.select(*spec.keys, F.lit(c["candidate_id"]).alias("candidate_id"), "order", "seasonal_order",
-                         "aic", "bic", "converged", "error")
-        # each candidate's per-key rows are written to the shared checkpoint folder:
-        # the plan stays one fit deep and the measured time is the real fit time
-        par = cut_lineage(par)
-        return par.withColumn("fit_seconds", F.lit(round(time.perf_counter() - t0, 2)))
-
-    # candidates are independent distributed jobs; submitting them from a few driver
-    # threads lets the scheduler overlap their (small) stages
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(cands)))) as pool:
-        parts = list(pool.map(one, cands))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
+    x = (train.select(*spec.keys, spec.time, POS, F.col(spec.value).cast("double").alias("_y"),
+                      F.explode(F.array(*[cand_struct(c) for c in cands])).alias("_c"))
+              .select("*", "_c.candidate_id"))
+    ks = spec.with_(key=(*spec.keys, "candidate_id"), value="_w")
+    keys = ks.keys
+    y = F.col("_y")
+
+    def diff_build(h, w):
+        terms = [F.when(F.element_at("_c.dc", i + 1) == 0, F.lit(0.0))
+                  .otherwise(F.element_at("_c.dc", i + 1) * (y if lag == 0 else F.lag(y, lag).over(w)))
+                 for i, lag in enumerate(diff_u)]
+        tot = terms[0]
+        for t in terms[1:]:
+            tot = tot + t
+        return h.select(*h.columns, F.when(F.col(POS) >= F.col("_c.reach"), tot).alias("_w"))
+
+    x = over_blocks(x, ks, before=max(diff_u), after=0, build=diff_build)
+    if ma_u:
+        mom = lag_moments(x.select(*keys, spec.time, "_w"), ks, m_max)
+        mu = x.where(F.col("_w").isNotNull()).groupBy(*keys).agg(F.avg("_w").alias("_mu"))
+        mord = x.groupBy(*keys).agg(F.max("_c.m").alias("_m"))
+        mom = mom.join(mord, on=keys)
+        kt = ", ".join(f"`{c}` {t}" for c, t in mom.select(*keys).dtypes)
+
+        def yw(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("lag")
+            m_c = int(pdf["_m"].iloc[0])
+            r = pdf["s"].to_numpy(dtype=float) / float(pdf["n"].iloc[0])
+            if len(r) < m_c + 1:
+                r = np.concatenate([r, np.zeros(m_c + 1 - len(r))])
+            phi, _ = levinson_phi(r, m_c) if m_c > 0 else (np.zeros(0), 0.0)
+            out = pdf[keys].iloc[:1].copy()
+            out["_phi"] = [phi.tolist()]
+            return out
+
+        phi = mom.groupBy(*keys).applyInPandas(yw, f"{kt}, _phi array<double>").join(mu, on=keys)
+
+        def res_build(h, w):
+            past = F.array(*[F.lag("_w", j).over(w) for j in range(1, m_max + 1)])
+            return h.select(*h.columns, past.alias("_past"))
+
+        x = over_blocks(x, ks, before=m_max, after=0, build=res_build).join(phi, on=keys, how="left")
+        dot = F.aggregate(F.zip_with(F.slice("_past", 1, F.greatest(F.size("_phi"), F.lit(1))), "_phi",
+                                     lambda a, b: (a - F.col("_mu")) * b), F.lit(0.0), lambda acc, v: acc + v)
+        e = F.when((F.col("_c.m") > 0) & (F.size("_phi") > 0), (F.col("_w") - F.col("_mu")) - dot)
+        x = x.withColumn("_e", e).drop("_past", "_phi", "_mu")
+    else:
+        x = x.withColumn("_e", F.lit(None).cast("double"))
+
+    def feat_build(h, w):
+        f = [F.lit(1.0)]
+        f += [F.when(F.element_at("_c.arm", i + 1), F.lag("_w", lag).over(w)).otherwise(F.lit(0.0))
+              for i, lag in enumerate(ar_u)]
+        f += [F.when(F.element_at("_c.mam", i + 1), F.lag("_e", lag).over(w)).otherwise(F.lit(0.0))
+              for i, lag in enumerate(ma_u)]
+        f += [F.col("_w")]
+        return h.select(*h.columns, F.array(*f).alias("_f"))
+
+    x = over_blocks(x, ks, before=reach_max, after=0, build=feat_build) if reach_max else \
+        x.withColumn("_f", F.array(F.lit(1.0), F.col("_w")))
+    g = gram(x, keys, array_col="_f", k=k)
+    meta = x.groupBy(*keys).agg(F.first("_c.sel").alias("_sel"), F.first("_c.order").alias("order"),
+                                F.first("_c.seasonal_order").alias("seasonal_order"))
+    g = g.join(meta, on=keys)
+    kt = ", ".join(f"`{c}` {t}" for c, t in g.select(*keys).dtypes)
+
+    def solve_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, row in pdf.iterrows():
+            n = int(row["n"])
+            G = np.asarray(row["g"], dtype=float).reshape(k, k)
+            idx = [int(i) for i in row["_sel"]]
+            err, ssr = None, float("nan")
+            try:
+                if n <= len(idx):
+                    raise ValueError(f"too few rows ({n}) for {len(idx)} parameters")
+                A, rhs = G[np.ix_(idx, idx)], G[idx, k - 1]
+                sc = np.sqrt(np.maximum(np.diag(A), 1e-300))
+                As = A / np.outer(sc, sc)
+                if np.linalg.cond(As) > 1e12:
+                    raise np.linalg.LinAlgError("ill-conditioned normal equations")
+                beta = np.linalg.solve(As, rhs / sc) / sc
+                ssr = max(float(G[k - 1, k - 1] - 2 * beta @ rhs + beta @ A @ beta), 0.0)
+            except Exception as ex:  # noqa: BLE001 - reported per candidate, aic = inf
+                err = str(ex)
+            ok = err is None and ssr > 0 and np.isfinite(ssr)
+            npar = len(idx)
+            aic = n * math.log(ssr / n) + 2 * npar if ok else float("inf")
+            bic = n * math.log(ssr / n) + npar * math.log(n) if ok else float("inf")
+            out.append([*[row[c] for c in keys], list(row["order"]), list(row["seasonal_order"]), aic, bic,
+                        bool(ok), err])
+        return pd.DataFrame(out, columns=[*keys, "order", "seasonal_order", "aic", "bic", "converged", "error"])
+
+    res = g.groupBy(*keys).applyInPandas(
+        solve_all, f"{kt}, order array<int>, seasonal_order array<int>, aic double, bic double, "
+                   "converged boolean, error string")
     w = Window.partitionBy(*spec.keys).orderBy("aic", "candidate_id")
-    return out.withColumn("rank", F.row_number().over(w))
+    return res.withColumn("rank", F.row_number().over(w))
 
 
 def select_order(search: DataFrame, keys, ref_key=None) -> DataFrame:

@@ -710,8 +710,10 @@ def q_m2(spark, sf):
 def q_m12(spark, sf):
     """Order chosen on the busiest series and reused for all (reference), next to best per key."""
     from ..operators.arima import arima_order_search, candidate_grid, select_order
+    from ..session import cut_lineage
     grid = candidate_grid(spark, s=HOURLY.period, max_combos=24, prune="stride")
-    res = arima_order_search(hourly_filled(spark, sf), HOURLY, grid, subsample=7 * HOURLY.period)
+    # the search feeds both policies: materialise it once in the shared checkpoint folder
+    res = cut_lineage(arima_order_search(hourly_filled(spark, sf), HOURLY, grid, subsample=7 * HOURLY.period))
     top = agg.top_key(agg.totals(hourly(spark, sf), "event_type", "y", name="total"), "event_type", "total")
     ref = [row["event_type"] for row in top.collect()][0]
     per_key = select_order(res, ["event_type"]).select("event_type", F.lit("per_key").alias("policy"),
