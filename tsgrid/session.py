@@ -62,9 +62,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    The frame is persisted first so the checkpoint write reuses the computed
+    partitions instead of running the lineage a second time; the cache is dropped
+    once the checkpoint files exist.
+    """
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
