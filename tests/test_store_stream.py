@@ -114,3 +114,14 @@ def test_streaming_ingest_resumes(spark, tmpdir_fresh):
     a = sorted(tuple(r) for r in read_store(spark, store_a).collect())
     b = sorted(tuple(r) for r in read_store(spark, store_b).collect())
     assert a == b
+
+
+def test_raw_scan_prunes_columns(spark, tmpdir_fresh):
+    raw_dir = os.path.join(tmpdir_fresh, "raw")
+    write_day_files(raw_dir)
+    plan = read_raw(spark, raw_dir).select("square_id", "internet_traffic") \
+        ._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert "square_id" in schema and "internet_traffic" in schema
+    for dropped in ("sms_in", "call_out", "country_code"):
+        assert dropped not in schema

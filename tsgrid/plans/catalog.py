@@ -869,3 +869,20 @@ def q_s11(spark, sf):
         .write.mode("overwrite").partitionBy("day").option("sep", "\t").option("header", False).csv(raw_dir))
     ingest_available(spark, f"{raw_dir}/*/", store, ck)
     return read_store(spark, store)
+
+
+_DL_POS = "WITH " + S.DAILY_SRC + """,
+dp AS (SELECT l_returnflag, ts, y, row_number() OVER (PARTITION BY l_returnflag ORDER BY ts) - 1 AS pos FROM dl)"""
+
+
+@register("w7_decompose_multiplicative_daily", _DL_POS + """,
+tr AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN sum(y) OVER w / 7 END AS trend
+       FROM dp WINDOW w AS (PARTITION BY l_returnflag ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+ph AS (SELECT l_returnflag, pos % 7 AS phase, avg(y / trend) AS pa FROM tr GROUP BY 1, 2),
+pc AS (SELECT l_returnflag, phase, pa / avg(pa) OVER (PARTITION BY l_returnflag) AS seasonal FROM ph)
+SELECT tr.l_returnflag, tr.ts, tr.y, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
+       round(tr.y / (trend * seasonal), 6) AS resid
+FROM tr JOIN pc ON tr.l_returnflag = pc.l_returnflag AND tr.pos % 7 = pc.phase""")
+def q_w7m(spark, sf):
+    d = decompose(daily(spark, sf), DAILY, "multiplicative", 7)
+    return d.select("l_returnflag", "ts", "y", r("trend"), r("seasonal"), r("resid"))
