@@ -69,7 +69,9 @@ def adf(df: DataFrame, spec: SeriesSpec, maxlag: int | None = None, autolag: boo
     x = fresh_positions(df.dropna(subset=[spec.value]), spec)
     st = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.avg(spec.value).alias("_mu"))
     if maxlag is None:
-        nmax = st.agg(F.max("_n")).collect()[0][0] or 0  # one scalar sizes the lag columns
+        # one scalar (the longest series) sizes the lag columns; counted on the input
+        nmax = (df.dropna(subset=[spec.value]).groupBy(*keys).count()
+                  .agg(F.max("count")).collect()[0][0] or 0)
         M = max(default_maxlag(int(nmax)), 0)
         mk = F.least(F.floor(F.col("_n") / 2).cast("long") - 2,
                      F.ceil(F.lit(12.0) * F.pow(F.col("_n") / 100.0, 0.25)).cast("long"))

@@ -504,7 +504,7 @@ def q_w12(spark, sf):
 
 @register("a17_outlier_rate_hourly", "WITH " + S.HOURLY_SRC + """,
 z AS (SELECT *, coalesce(abs((y - avg(y) OVER (PARTITION BY event_type)) / stddev_samp(y) OVER (PARTITION BY event_type)) > 3, false) AS o FROM hr)
-SELECT event_type, sum(CAST(o AS BIGINT)) AS n_outliers, count(*) AS n,
+SELECT event_type, CAST(sum(CAST(o AS BIGINT)) AS BIGINT) AS n_outliers, count(*) AS n,
        round(sum(CAST(o AS BIGINT)) * 100.0 / count(*), 2) AS pct FROM z GROUP BY 1""")
 def q_a17(spark, sf):
     z = zscore_outliers(hourly(spark, sf), HOURLY, 3.0)
@@ -622,8 +622,9 @@ def q_s8(spark, sf):
 @register("s4_store_report_events", _STORE_SQL + """
 SELECT day, count(*) AS aggregated_rows FROM st GROUP BY 1""")
 def q_s4(spark, sf):
+    from ..sources.store import STORE_SCHEMA
     store = _events_store(spark, sf)
-    st = spark.read.option("basePath", store).parquet(store)
+    st = spark.read.schema(STORE_SCHEMA).option("basePath", store).parquet(store)
     return (st.select("day", F.col("_metadata.file_path").alias("_f"))
               .groupBy("day").agg(F.count(F.lit(1)).alias("aggregated_rows")))
 

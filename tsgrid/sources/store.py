@@ -112,7 +112,7 @@ def store_report(raw: DataFrame, store: str) -> DataFrame:
     r = (raw.groupBy("day", "source_file").agg(F.count(F.lit(1)).alias("raw_rows"),
                                               F.first("_file_size").alias("raw_bytes"))
             .groupBy("day").agg(F.sum("raw_rows").alias("raw_rows"), F.sum("raw_bytes").alias("raw_bytes")))
-    store_df = raw.sparkSession.read.option("basePath", store).parquet(store)
+    store_df = raw.sparkSession.read.schema(STORE_SCHEMA).option("basePath", store).parquet(store)
     s = (store_df.select("day", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_size").alias("_b"))
                  .groupBy("day", "_f").agg(F.count(F.lit(1)).alias("_n"), F.first("_b").alias("_b"))
                  .groupBy("day").agg(F.sum("_n").alias("aggregated_rows"), F.sum("_b").alias("shard_bytes")))
