@@ -164,7 +164,7 @@ def carry(df: DataFrame, spec: SeriesSpec, item: Column,
 
 
 def value_ranks(df: DataFrame, group, order_col: str, tie_cols=(), block: int = 8192,
-                rank_col: str = "rank", n_col: str = "_n") -> DataFrame:
+                rank_col: str = "rank", n_col: str = "_n", max_buckets: int = 1 << 20) -> DataFrame:
     """Exact 1-based rank of each row within ``group`` ordered by (order_col, tie_cols),
     without sorting a whole group in one task.
 
@@ -178,7 +178,9 @@ def value_ranks(df: DataFrame, group, order_col: str, tie_cols=(), block: int =
     v = F.col(order_col).cast("double")
     x = df.where(F.col(order_col).isNotNull())
     st = x.groupBy(*group).agg(F.count(F.lit(1)).alias(n_col), F.min(v).alias("_vlo"), F.max(v).alias("_vhi"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col(n_col) / F.lit(block))).cast("long")
+    # at most max_buckets per group keeps the running-offset window over the bucket
+    # counts small even for one global group
+    nb = F.least(F.lit(max_buckets), F.greatest(F.lit(1), F.ceil(F.col(n_col) / F.lit(block)))).cast("long")
     span = F.col("_vhi") - F.col("_vlo")
     bucket = F.when(span <= 0, F.lit(0)).otherwise(
         F.least(nb - 1, F.floor((v - F.col("_vlo")) / span * nb))).cast("long")
