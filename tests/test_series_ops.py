@@ -160,3 +160,14 @@ def test_block_size_invariance(spark):
         pr = persistence(f, sp).unionByName(seasonal_naive(f, sp))
         res.append(sorted(tuple(r) for r in pr.collect()))
     assert res[0] == res[1] == res[2]
+
+
+def test_fill_without_leakage(spark):
+    # gap across the boundary at 00:30: default uses the test value, train_only does not
+    df = frame(spark, [("a", m(0), 1.0), ("a", m(10), 2.0), ("a", m(20), None), ("a", m(40), 6.0),
+                       ("a", m(50), 7.0)])
+    default = {r["ts"]: r["y"] for r in fill_missing(df, SPEC).collect()}
+    no_leak = {r["ts"]: r["y"] for r in fill_missing(df, SPEC, train_end=m(30)).collect()}
+    assert default[m(20)] == pytest.approx(10 / 3) and default[m(30)] == pytest.approx(14 / 3)
+    assert no_leak[m(20)] == 2.0  # trailing gap of the train part keeps the last train value
+    assert no_leak[m(30)] == pytest.approx(14 / 3) and no_leak[m(50)] == 7.0

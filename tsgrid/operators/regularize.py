@@ -78,6 +78,20 @@ def interpolate(df: DataFrame, spec: SeriesSpec, col: str | None = None) -> Data
     return x.withColumn(c, filled).drop("_prev", "_next")
 
 
-def fill_missing(df: DataFrame, spec: SeriesSpec, on_duplicate: str = "error") -> DataFrame:
-    """regularize + interpolate, the reference's gap filling."""
-    return interpolate(regularize(df, spec, on_duplicate), spec)
+def fill_missing(df: DataFrame, spec: SeriesSpec, on_duplicate: str = "error",
+                 train_end=None) -> DataFrame:
+    """regularize + interpolate, the reference's gap filling.
+
+    By default (the reference behaviour) a gap that spans the train/test boundary is
+    filled using the first test value. With ``train_end`` (the test start) the rows
+    before it are interpolated from train rows only, so nothing from the test part
+    leaks into train; test rows still use the full series.
+    """
+    g = regularize(df, spec, on_duplicate)
+    if train_end is None:
+        return interpolate(g, spec)
+    t = F.col(spec.time)
+    start = F.lit(train_end).cast("timestamp_ntz") if isinstance(train_end, str) else F.lit(train_end)
+    train = interpolate(g.where(t < start), spec)
+    test = interpolate(g, spec).where(t >= start)
+    return train.unionByName(test)
