@@ -125,3 +125,20 @@ def test_raw_scan_prunes_columns(spark, tmpdir_fresh):
     assert "square_id" in schema and "internet_traffic" in schema
     for dropped in ("sms_in", "call_out", "country_code"):
         assert dropped not in schema
+
+
+def test_null_tokens_sum(spark, tmpdir_fresh):
+    """'', 'NA', 'NaN', 'null', '5' for one key sum to 5 (NaN must not poison the sum);
+    a short row (4 of 8 fields) reads as traffic 0."""
+    from tsgrid.operators.aggregates import collapse
+    folder = os.path.join(tmpdir_fresh, "raw")
+    os.makedirs(folder)
+    toks = ["", "NA", "NaN", "null", "5"]
+    lines = [f"7\t1383260400000\tc{i}\t\t\t\t\t{t}" for i, t in enumerate(toks)]
+    lines.append("8\t1383260400000\t39\t1")  # short row
+    with open(os.path.join(folder, "sms-call-internet-mi-2013-11-01.txt"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    raw = read_raw(spark, folder)
+    got = {r["square_id"]: r["internet_traffic"] for r in collapse(raw, ["square_id"], out_type="double").collect()}
+    assert got == {7: 5.0, 8: 0.0}
+    assert {r["day"] for r in raw.collect()} == {"2013-11-01"}
