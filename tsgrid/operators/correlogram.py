@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.blocks import POS, fresh_positions, over_blocks
@@ -24,11 +24,11 @@ Z95 = 1.96
 def lag_moments(df: DataFrame, spec: SeriesSpec, nlags: int) -> DataFrame:
     """(key..., lag, s, n, n_all): s = sum_t d_t d_{t+lag} with d = y - mean over the
     non-null rows, n = non-null rows, n_all = rows including nulls (for the band)."""
-    base = df
-    n_all = base.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n_all"))
-    x = fresh_positions(base.dropna(subset=[spec.value]), spec)
-    st = x.groupBy(*spec.keys).agg(F.avg(spec.value).alias("_mu"), F.count(F.lit(1)).alias("n"))
-    x = x.join(st, on=spec.keys).withColumn("_d", F.col(spec.value).cast("double") - F.col("_mu"))
+    st = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n_all"), F.count(spec.value).alias("n"),
+                                    F.avg(spec.value).alias("_mu"))
+    x = fresh_positions(df.dropna(subset=[spec.value]), spec)
+    x = x.join(st.select(*spec.keys, "_mu"), on=spec.keys) \
+         .withColumn("_d", F.col(spec.value).cast("double") - F.col("_mu"))
     K = nlags
 
     def build(h, w):
@@ -37,17 +37,17 @@ def lag_moments(df: DataFrame, spec: SeriesSpec, nlags: int) -> DataFrame:
     x = over_blocks(x, spec, before=0, after=K, build=build)
     x = x.select(*spec.keys, "_d", F.posexplode("_ahead").alias("lag", "_dk"))
     s = x.groupBy(*spec.keys, "lag").agg(F.sum(F.col("_d") * F.col("_dk")).alias("s"))
-    return s.join(st.select(*spec.keys, "n"), on=spec.keys).join(n_all, on=spec.keys)
+    return s.join(st.select(*spec.keys, "n", "n_all"), on=spec.keys)
 
 
 def acf(df: DataFrame, spec: SeriesSpec, nlags: int = 200) -> DataFrame:
     """W8 + W10: acf(k) = sum d_t d_{t+k} / sum d_t^2 (global mean, no lag adjustment);
-    band = 1.96 / sqrt(n) with n counted with nulls; ``significant`` = |acf| > band."""
+    band = 1.96 / sqrt(n) with n counted with nulls; ``significant`` = |acf| > band.
+    The lag-0 sum is read with a window over the small (key, lag) moments table."""
     m = lag_moments(df, spec, nlags)
-    s0 = m.where(F.col("lag") == 0).select(*spec.keys, F.col("s").alias("_s0"))
+    s0 = F.max(F.when(F.col("lag") == 0, F.col("s"))).over(Window.partitionBy(*spec.keys))
     band = F.lit(Z95) / F.sqrt(F.col("n_all").cast("double"))
-    return (m.join(s0, on=spec.keys)
-             .select(*spec.keys, F.col("lag").cast("int").alias("lag"), (F.col("s") / F.col("_s0")).alias("acf"),
+    return (m.select(*spec.keys, F.col("lag").cast("int").alias("lag"), (F.col("s") / s0).alias("acf"),
                      band.alias("band"))
              .withColumn("significant", F.abs(F.col("acf")) > F.col("band")))
 

@@ -10,7 +10,7 @@ resid    what is left.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.blocks import POS, fresh_positions, over_blocks
@@ -39,11 +39,11 @@ def decompose(df: DataFrame, spec: SeriesSpec, model: str = "additive", period:
     x = over_blocks(x, spec, before=h, after=h, build=build)
     detr = (v - F.col("trend")) if model == "additive" else (v / F.col("trend"))
     x = x.withColumn("_phase", F.pmod(F.col(POS), F.lit(p))).withColumn("_detr", detr)
-    # guard: at least two full periods (raises at execution, per series)
-    n = x.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_n"))
-    ph = x.groupBy(*spec.keys, "_phase").agg(F.avg("_detr").alias("_pa"))
-    centre = ph.groupBy(*spec.keys).agg(F.avg("_pa").alias("_pm"))
-    ph = ph.join(centre, on=spec.keys).join(n, on=spec.keys)
+    # one aggregate per (key, phase); the series length (for the two-period guard) and
+    # the centring mean come from windows over this small table (period rows per key)
+    ph = x.groupBy(*spec.keys, "_phase").agg(F.avg("_detr").alias("_pa"), F.count(F.lit(1)).alias("_c"))
+    kw = Window.partitionBy(*spec.keys)
+    ph = ph.withColumn("_pm", F.avg("_pa").over(kw)).withColumn("_n", F.sum("_c").over(kw))
     seas = (F.col("_pa") - F.col("_pm")) if model == "additive" else (F.col("_pa") / F.col("_pm"))
     seas = F.when(F.col("_n") < 2 * p, F.raise_error(F.lit("decompose: fewer than two full periods"))).otherwise(seas)
     ph = ph.select(*spec.keys, "_phase", seas.alias("seasonal"))
