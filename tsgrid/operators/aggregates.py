@@ -80,7 +80,7 @@ def describe_values(df: DataFrame, col: str, by=()) -> DataFrame:
     x = df.groupBy(*by).agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
                             F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["p25", "p50", "p75"])
-    x = x.join(q, on=list(by)) if by else x.crossJoin(q)
+    x = x.join(q, on=list(by)) if by else x.crossJoin(F.broadcast(q))  # one aggregate row
     return x.select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -103,7 +103,7 @@ def spread(df: DataFrame, col: str, by=()) -> DataFrame:
     v = F.col(col).cast("double")
     x = df.groupBy(*by).agg(F.avg(v).alias("mean"), F.max(v).alias("max"))
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q25", "median", "q75"])
-    x = x.join(q, on=list(by)) if by else x.crossJoin(q)
+    x = x.join(q, on=list(by)) if by else x.crossJoin(F.broadcast(q))  # one aggregate row
     return x.select(*by, "median", "mean", "max", (F.col("max") / F.col("median")).alias("peak_to_median"),
                     "q25", "q75", (F.col("q75") - F.col("q25")).alias("iqr"))
 
