@@ -96,53 +96,57 @@ def adf(df: DataFrame, spec: SeriesSpec, maxlag: int | None = None, autolag: boo
         return df_.withColumn("_f", F.transform(
             "_f", lambda v, i: F.when((i < 2) | (i == k - 1) | (i <= lim + 1), v).otherwise(F.lit(0.0))))
 
-    if autolag and M > 0:
-        search = zero_beyond(feats.where(F.col(POS) >= F.col("_mk") + 1), "_mk")
-        ga = gram(search, keys, array_col="_f", k=k).join(st.withColumn("_mk", F.greatest(mk, F.lit(0))).select(*keys, "_mk"),
-                                          on=keys)
-        kt = ", ".join(f"`{c}` {t}" for c, t in ga.select(*keys).dtypes)
-
-        def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-            out = []
-            for _, row in pdf.iterrows():
-                G = np.asarray(row["g"], dtype=float).reshape(k, k)
-                nobs = int(row["n"])
-                best = None
-                for L in range(0, int(row["_mk"]) + 1):
-                    _, ssr, _ = solve(G, [0, 1, *range(2, 2 + L)], k - 1)
-                    aic = nobs * math.log(ssr / nobs) + 2 * (L + 2) if ssr > 0 else -math.inf
-                    if best is None or aic < best[0]:
-                        best = (aic, L)
-                # reported like an OLS likelihood AIC (adds the constant n(ln 2pi + 1))
-                ic = best[0] + nobs * (math.log(2 * math.pi) + 1)
-                out.append([*[row[c] for c in keys], best[1], ic])
-            return pd.DataFrame(out, columns=[*keys, "used_lag", "ic_best"])
-
-        chosen = ga.groupBy(*keys).applyInPandas(pick, f"{kt}, used_lag long, ic_best double")
-    else:
-        chosen = st.select(*keys, F.greatest(mk, F.lit(0)).alias("used_lag"),
-                           F.lit(None).cast("double").alias("ic_best"))
-
-    final = zero_beyond(feats.join(chosen.select(*keys, "used_lag"), on=keys)
-                             .where(F.col(POS) >= F.col("used_lag") + 1), "used_lag")
-    gb = gram(final, keys, array_col="_f", k=k).join(chosen, on=keys)
+    # One pass: the search sample is pos >= mk + 1 (all keys share it for every lag
+    # order); the final sample for order L adds only positions L+1 .. mk, i.e. at most
+    # maxlag rows at the start of each series. Their feature arrays are collected per
+    # key (a bounded list) and added to the search Gram matrix in the per-key solve.
+    search = zero_beyond(feats.where(F.col(POS) >= F.col("_mk") + 1), "_mk")
+    ga = gram(search, keys, array_col="_f", k=k)
+    head = (feats.where((F.col(POS) >= 1) & (F.col(POS) <= F.col("_mk")))
+                 .groupBy(*keys).agg(F.collect_list(F.struct(F.col(POS).alias("p"), F.col("_f").alias("f")))
+                                     .alias("_head")))
+    gb = (ga.join(st.select(*keys, F.greatest(mk, F.lit(0)).alias("_mk")), on=keys)
+            .join(head, on=keys, how="left"))
     kt = ", ".join(f"`{c}` {t}" for c, t in gb.select(*keys).dtypes)
+    search_lags = bool(autolag and M > 0)
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in pdf.iterrows():
             G = np.asarray(row["g"], dtype=float).reshape(k, k)
-            L = int(row["used_lag"])
-            nobs = int(row["n"])
-            idx = [0, 1, *range(2, 2 + L)]
-            b, ssr, inv = solve(G, idx, k - 1)
-            dof = nobs - len(idx)
+            n_search = int(row["n"])
+            mk_ = int(row["_mk"])
+            ic = None
+            if search_lags:
+                best = None
+                for L in range(0, mk_ + 1):
+                    _, ssr, _ = solve(G, [0, 1, *range(2, 2 + L)], k - 1)
+                    aic = n_search * math.log(ssr / n_search) + 2 * (L + 2) if ssr > 0 else -math.inf
+                    if best is None or aic < best[0]:
+                        best = (aic, L)
+                L = best[1]
+                # reported like an OLS likelihood AIC (adds the constant n(ln 2pi + 1))
+                ic = best[0] + n_search * (math.log(2 * math.pi) + 1)
+            else:
+                L = mk_
+            idx = [0, 1, *range(2, 2 + L), k - 1]
+            Gf = G.copy()
+            nobs = n_search
+            heads = row["_head"] if row["_head"] is not None else []
+            for h in heads:
+                if int(h["p"]) >= L + 1:
+                    xv = np.asarray(h["f"], dtype=float)[idx]
+                    Gf[np.ix_(idx, idx)] += np.outer(xv, xv)
+                    nobs += 1
+            reg = idx[:-1]
+            b, ssr, inv = solve(Gf, reg, k - 1)
+            dof = nobs - len(reg)
             se = math.sqrt(ssr / dof * inv[1, 1]) if dof > 0 and inv[1, 1] > 0 else float("nan")
             tau = b[1] / se if se and np.isfinite(se) and se > 0 else float("nan")
             p = mackinnon_p(tau)
             cv = mackinnon_crit(nobs)
             out.append([*[row[c] for c in keys], float(tau), p, L, nobs, cv["1%"], cv["5%"], cv["10%"],
-                        row["ic_best"], bool(p < 0.05) if np.isfinite(p) else None])
+                        ic, bool(p < 0.05) if np.isfinite(p) else None])
         return pd.DataFrame(out, columns=[*keys, "adf_stat", "pvalue", "used_lag", "nobs", "crit_1",
                                           "crit_5", "crit_10", "ic_best", "stationary"])
 
