@@ -24,7 +24,10 @@ Two refinements keep this exact and cheap:
 Documents with one and the same set (of any number) are one node. Signature buckets are then resolved
 without emitting all pairs: each round pairs the members of a bucket only with its pivot (the member that
 shares most buckets), verifies, joins components, and drops every bucket whose members are already in one
-component. After PIVOT_ROUNDS the pairs still open are verified one and all.
+component. After PIVOT_ROUNDS the pairs still open are verified one and all: buckets of up to SMALL members by
+a join of ids, larger ones (a dense group whose members lie near the limit) in tiles of blocks of at most TILE
+members, inside which sketches are compared and only pairs that may link are written, each in the bucket
+with its least shared key.
 
 Verification: the sizes first; then parity sketches (bit i is the parity of the n-grams whose hash ends in
 i, so the sketches' Hamming distance never exceeds the sets': no link is dropped); then the whole sets.
@@ -70,12 +73,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash, row) of every lower-cased word of the texts data[off[i]:off[i+1]]."""
+def word_hashes(data: np.ndarray, off: np.ndarray, letters: np.ndarray = ~SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, row) of every word (bytes of ``letters`` after lower-casing) of the texts data[off[i]:off[i+1]]."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     low = LOWER[data]
-    word = ~SPACE[low]
+    word = letters[low]
     edge = np.zeros(len(low) + 1, bool)
     edge[off] = True
     first = word & (edge[:-1] | ~np.concatenate([[False], word[:-1]]))
@@ -88,6 +91,15 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return h, np.searchsorted(off, starts, side="right") - 1
 
 
+def grams_of(h: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, index of its first word) of every k words in a row that belong to one text."""
+    at = np.flatnonzero(row[k - 1:] == row[:len(row) - k + 1]) if len(h) >= k else np.zeros(0, np.int64)
+    grams = np.zeros(len(at), np.uint64)
+    for j in range(k):
+        grams += h[at + j] * _STEPS[j]
+    return mix(grams + np.uint64(k)), at
+
+
 def ngram_sets(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): the sorted distinct n-gram hashes of each text, all in one array.
 
@@ -181,8 +193,10 @@ def signatures(grams: np.ndarray, off: np.ndarray, heavy: np.ndarray, percent: i
 
 
 #: At most so many n-grams (8 bytes each) are sent to all tasks as heavy; the least count that makes one.
-HEAVY_ROWS, HEAVY_LEAST = 1_000_000, 32
-PIVOT_ROUNDS = 3
+HEAVY_ROWS, HEAVY_LEAST = 1_000_000, 24
+PIVOT_ROUNDS, SMALL, TILE = 2, 32, 2000
+#: Rows whose sets a task holds at once.
+BLOCK_ROWS = 2500
 
 
 def _sets_of(batch: pa.RecordBatch, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,6 +209,12 @@ def _sets_of(batch: pa.RecordBatch, text: str, n: int) -> tuple[np.ndarray, np.n
     return np.concatenate(grams or [np.zeros(0, np.uint64)]), np.cumsum(np.concatenate(sizes))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, BLOCK_ROWS):
+            yield batch.slice(k, BLOCK_ROWS)
+
+
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), column.is_valid().to_numpy(zero_copy_only=False)
 
@@ -204,9 +224,9 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _describe(n: int):
-    """Per text (id, size, two set hashes); per block (null, count, n-gram, null) of n-grams in 3 texts or more."""
+    """Per text (id, size, two set hashes); per block (null, count, n-gram, null) of n-grams in 2 texts or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             g, off = _sets_of(batch, "text", n)
             size = np.diff(off)
             hashes = []
@@ -218,7 +238,7 @@ def _describe(n: int):
             s = np.sort(g)
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
             count = np.diff(np.append(first, len(s)))
-            often = count >= 3
+            often = count >= 2
             if often.any():
                 k = int(often.sum())
                 yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.array(count[often]), _long(s[first[often]]), pa.nulls(k, pa.int64())], ["id", "n", "s1", "s2"])
@@ -228,7 +248,7 @@ def _describe(n: int):
 def _sign(n: int, percent: int, heavy: np.ndarray):
     """(signature, id) rows; equal sets within a block of rows are signed once, under their least id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             g, off = _sets_of(batch, "text", n)
             ids, valid = _ids(batch.column("id"))
             least: dict[bytes, int] = {}
@@ -268,7 +288,7 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 
 def _keep_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             g, off = _sets_of(batch, "text", n)
             sets = [g[off[i]:off[i + 1]] for i in range(len(off) - 1)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([sketch(s) for s in sets], pa.binary()),
@@ -287,6 +307,29 @@ def _near(percent: int):
     return run
 
 
+def _near_in_tile(percent: int):
+    """Pairs of one bucket's blocks (left, right) in different components whose sketches allow a link."""
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        own, left, right = (k.as_py() for k in key)
+        block, node, n, comp = (t.column(c).to_numpy() for c in ("block", "node", "n", "comp"))
+        keys = t.column("keys").to_pylist()
+        raw = [np.frombuffer(x.as_py(), np.uint8) for x in t.column("sketch")]
+        width = min(map(len, raw))
+        bits = np.stack([np.bitwise_xor.reduce(x.reshape(-1, width), axis=0) for x in raw]).view(np.uint64)
+        a, b = np.flatnonzero(block == left), np.flatnonzero(block == right)
+        out: list[tuple[int, int]] = []
+        for i in a:
+            to = b[(b > i) | (left != right)]
+            to = to[(comp[to] != comp[i]) & (np.minimum(n[to], n[i]) * 100 >= np.maximum(n[to], n[i]) * percent)]
+            apart = np.bitwise_count(bits[to] ^ bits[i]).sum(1, dtype=np.int64)
+            for j in to[apart * (100 + percent) <= (100 - percent) * (n[to] + n[i])]:
+                if not any(k < own for k in set(keys[i]).intersection(keys[j])):
+                    out.append((int(node[i]), int(node[j])))
+        x, y = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+    return run
+
+
 def _linked(percent: int):
     """Pairs with 100 x intersection >= percent x union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,46 +371,60 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     sets = materialize(rows.join(small_broadcast(wanted, wanted.count()), "id", "left_semi")
                        .mapInArrow(_keep_sets(n), "id long, sketch binary, grams binary"), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Linked pairs among (a, na, b, nb)."""
+    def side(column: str, x: str) -> DataFrame:
+        return sets.select(F.col("id").alias(x), F.col(column).alias(f"x{x}"))
+
+    def near(pairs: DataFrame) -> DataFrame:
         pairs = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        for column, keep, cols in (("sketch", _near, ("a", "na", "b", "nb")), ("grams", _linked, ("a", "b"))):
-            side = lambda x: sets.select(F.col("id").alias(x), F.col(column).alias(f"x{x}"))
-            pairs = materialize(pairs.select(*cols).join(side("b"), "b").join(side("a"), "a")
-                                .mapInArrow(keep(percent), "a long, b long"), "near-pairs")
-        return pairs.distinct()
+        return pairs.join(side("sketch", "b"), "b").join(side("sketch", "a"), "a").mapInArrow(_near(percent), "a long, b long")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs.distinct(), "near-pairs")
+        return materialize(pairs.join(side("grams", "b"), "b").join(side("grams", "a"), "a").mapInArrow(_linked(percent), "a long, b long"), "links").distinct()
+
+    def group(links: DataFrame) -> DataFrame:
+        return materialize(components(links, "a", "b"), "components")
 
     twice = nodes.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     links = materialize(nodes.join(twice, "id").where("rep <> a").select("a", F.col("rep").alias("b")), "repeated-ids")
-    comps, done, open_ = materialize(components(links, "a", "b"), "components"), None, members.withColumn("comp", F.col("node"))
+    comps, done, open_ = None, None, members.withColumn("comp", F.col("node"))
+    same_key = Window.partitionBy("key")
     for turn in range(PIVOT_ROUNDS + 1):
-        same_key = Window.partitionBy("key")
         open_ = materialize(open_.withColumn("lo", F.min("comp").over(same_key)).withColumn("hi", F.max("comp").over(same_key))
-                            .where("lo <> hi").drop("lo", "hi"), "open-buckets")
+                            .withColumn("m", F.count(F.lit(1)).over(same_key)).where("lo <> hi").drop("lo", "hi"), "open-buckets")
         if open_.isEmpty():
             break
-        a = F.struct("w", (-F.col("node")).alias("first"), "n", "comp")
+        heaviest = F.struct("w", (-F.col("node")).alias("first"), "n", "comp")
         if turn < PIVOT_ROUNDS:
             # the pivot of later rounds comes from outside the component that holds the heaviest member
-            top = open_.groupBy("key").agg(F.max(a).alias("top"))
+            top = open_.groupBy("key").agg(F.max(heaviest).alias("top"))
             if turn:
-                top = (open_.join(top, "key").where(F.col("comp") != F.col("top.comp")).groupBy("key").agg(F.max(a).alias("top")))
+                top = open_.join(top, "key").where(F.col("comp") != F.col("top.comp")).groupBy("key").agg(F.max(heaviest).alias("top"))
             top = top.select("key", (-F.col("top.first")).alias("a"), F.col("top.n").alias("na"), F.col("top.comp").alias("ca"))
-            pairs = open_.join(top, "key").where("comp <> ca").select("a", "na", F.col("node").alias("b"), F.col("n").alias("nb"))
+            pairs = open_.join(top, "key").where("comp <> ca").select("a", "na", F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
+            if done is not None:
+                pairs = pairs.join(done, ["a", "b"], "left_anti")
+            pairs = materialize(pairs, "pairs")
+            both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            done = both if done is None else done.union(both)
+            links = links.union(linked(near(pairs)))
         else:
-            left = open_.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            pairs = (left.join(open_.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "key")
+            few = open_.where(F.col("m") <= SMALL)
+            pairs = (few.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+                     .join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "key")
                      .where((F.col("ca") < F.col("cb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-                     .select("a", "na", "b", "nb"))
-        pairs = pairs.distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti").join(done.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = verified(pairs)
-        links = links.union(found)
-        done = pairs.select("a", "b") if done is None else done.union(pairs.select("a", "b"))
-        comps = materialize(components(links, "a", "b"), "components")
-        open_ = (open_.drop("comp").join(comps, open_.node == comps.node, "left").select("key", open_.node, "n", "w", F.coalesce("component", open_.node).alias("comp")))
+                     .select("a", "na", "b", "nb").distinct().join(done, ["a", "b"], "left_anti"))
+            many = open_.where(F.col("m") > SMALL)
+            keys = many.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("key")), 1, 16).alias("keys"))
+            blocks = F.ceil(F.col("m") / TILE).cast("int")
+            tiles = (many.join(keys, "node").join(side("sketch", "node"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+                     .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                     .select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "node", "n", "comp", "keys",
+                             F.col("xnode").alias("sketch")).groupBy("key", "left", "right").applyInArrow(_near_in_tile(percent), "a long, b long"))
+            links = links.union(linked(near(pairs).union(tiles)))
+        comps = group(links)
+        open_ = (open_.drop("comp", "m").join(comps, open_.node == comps.node, "left").select("key", open_.node, "n", "w", F.coalesce("component", open_.node).alias("comp")))
+    comps = group(links) if comps is None else comps
     label = (nodes.select("id", "rep").distinct().join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", F.coalesce("component", "rep").alias("component")))
     label = label.groupBy("id").agg(F.min("component").alias("component"))
