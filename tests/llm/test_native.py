@@ -1,0 +1,110 @@
+"""Secret scans and quality rules against plain Python, with edge cases."""
+import hashlib
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tsgrid.llm import quality_rules as quality
+from tsgrid.llm import secret_scan as secrets
+
+SF01 = "/root/testdata/sf0.01"
+KINDS = ["assign", "access", "hex", "entropy"]
+
+
+def python_spans(t):
+    t = t or ""
+    base = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A):
+        if len(m[2]) >= 8:
+            base.append((m.start(), 0, m.end()))
+    base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    more, w = [], secrets.WINDOW
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t):
+        s = m[0]
+        if not re.search("[0-9]", s) or any(re.search(p, s) for p in secrets.ALLOW):
+            continue
+        limit = secrets.LIMITS["hex" if re.fullmatch("[0-9a-fA-F]+", s) else "base64"]
+        ok = [k for k in range(len(s) - w + 1) if math.log2(w) - sum(s[k:k + w].count(c) * math.log2(s[k:k + w].count(c)) for c in set(s[k:k + w])) / w >= limit - 1e-9]
+        if ok and not any(a < m.start() + ok[-1] + w and m.start() + ok[0] < b for a, _, b in base):
+            more.append((m.start() + ok[0], 3, m.start() + ok[-1] + w))
+    say = lambda x: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(x))
+    n = [sum(k == i for _, k, _ in base) for i in range(3)]
+    return (*n, hashlib.sha256(say(base).encode()).hexdigest(), say(base + more))
+
+
+def secret_texts():
+    rng = random.Random(3)
+    chars = "ABCDEFGHabcdefgh0123456789+/_-"
+    out = [None, "", "token=secret: abcdefgh1", "Password = 'abc.defgh' PASSWD:\"x1234567\" api_key=short", "é😀 secret=abcdefghij ñ", "AKIA" + "A" * 11, "AKIA" + "Z" * 12,
+           "xAKIAAKIA1234567890 " + "f" * 40, "0123456789abcdef" * 2 + " " + "a" * 31, "123e4567-e89b-12d3-a456-426614174000", "example_" + "q9W8e7R6t5Y4u3I2o1P0",
+           "password=password=abc token=" + "a" * 5000, "key " + "q9W8e7R6t5Y4u3I2o1P0asdfGHJK", "aaaaaaaaaaaaaaaaaaaaaaaa1q9W8e7R6t5Y4u3I2o1P0", "deadbeef01DEADBEEF23456789"]
+    for _ in range(60):
+        out.append(" ".join("".join(rng.choice(chars) for _ in range(rng.choice([5, 21, 30, 45]))) for _ in range(6)) + rng.choice(["", " secret: " + "x9" * 6]))
+    return out
+
+
+def test_spans_equal_python(spark):
+    texts = secret_texts() + [r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").select("text").collect()]
+    rows = list(enumerate(texts)) + [(None, "token: abcdefgh"), (3, "token: abcdefgh"), (3, "token: abcdefgh")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("t", F.lit(1)).withColumn("spans", F.lit("x"))
+    got = sorted((tuple(r) for r in secrets.secret_scan(df).collect()), key=str)
+    want = sorted(((i, *python_spans(t)) for i, t in rows), key=str)
+    for g, w in zip(got, want):
+        assert g == w
+    assert len(got) == len(want)
+    assert secrets.secret_scan(df.limit(0)).count() == 0
+
+
+def test_redact_replaces_spans_and_keeps_columns(spark):
+    df = spark.createDataFrame([(1, "é password=abcdefgh1 z", "a"), (2, "nothing", None), (3, None, "c")], "doc_id long, text string, t string")
+    out = secrets.redact(df).orderBy("doc_id").collect()
+    assert [r.text for r in out] == ["é [SECRET] z", "nothing", None] and [r.t for r in out] == ["a", None, "c"] and out[0].__fields__ == ["doc_id", "text", "t"]
+
+
+def python_counts(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen, cover = {}, set()
+    for i in range(len(w) - 2):
+        seen.setdefault(tuple(w[i:i + 3]), []).append(i)
+    for at in seen.values():
+        if len(at) > 1:
+            cover |= {i + d for i in at for d in range(3)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(cover)
+
+
+def quality_rows(spark):
+    rng = random.Random(1)
+    texts = [None, "", " \n", "a", "a b", "a b c", "a b c a b c", "x x x x x x", "a\n\na\n \na", "# * é|<😀> $%&", "one\x0btwo\x0cthree\rfour", "a b c d a b x a b c"]
+    texts += [" ".join(rng.choice("abc") for _ in range(rng.randint(1, 90))) for _ in range(40)]
+    rows = [(i, t, f"h{i % 4}" if i % 5 else None) for i, t in enumerate(texts)]
+    rows += [(1000 + r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF01}/documents.parquet").limit(300).collect()]
+    return rows + [(None, "a b c", "h1"), (3, "a", "h1")]
+
+
+def test_counts_equal_python(spark):
+    rows = quality_rows(spark)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("host", F.lit(1)).withColumn("w", F.lit(2)).withColumn("n", F.lit(3))
+    out = quality.quality_rules(df)
+    got = sorted((tuple(r) for r in out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()), key=str)
+    assert got == sorted(((i, *python_counts(t)) for i, t, _ in rows), key=str)
+    for r in out.collect():
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert quality.quality_rules(df.limit(0)).count() == 0
+
+
+def test_host_verdicts_shrink_small_hosts(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    lines = "\n".join(["same words here"] * 20 + [f"w{i} v{i} u{i} t{i} s{i}" for i in range(30)])  # a lenient rule fails
+    rows = [(i, lines, "bad") for i in range(200)] + [(1000 + i, good if i % 50 else lines, "fine") for i in range(400)] + [(5000, lines, "tiny"), (6000, good, "bad")]
+    rows += [(7000 + i, good, f"many{i}") for i in range(30)]
+    out = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not out[0].kept and out[1000].kept and out[6000].kept and out[7000].kept
+    p = {r.host: r.p_fail_dup_lines for r in quality.host_verdicts(quality.with_rules(quality.document_counts(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")))).collect()}
+    assert 0.9 < p["bad"] < 1 and p["fine"] < 0.1 and p["tiny"] < 1 and p["many1"] > 0
