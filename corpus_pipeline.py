@@ -1,18 +1,69 @@
-"""The document pipeline: quality rules, toxicity, near-duplicates, secrets, packing (see tsgrid.llm)."""
+"""The document pipeline: quality rules, toxicity, near-duplicates, secrets, packing (operators of tsgrid.llm).
+
+Each stage works on all that its predecessor kept, written as Parquet and read again in between. The stages'
+tests compare them with brute force; SQL can't express the learned, tokenised and packed ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tsgrid.llm.best_fit_packing import best_fit_packing
+from tsgrid.llm.common import materialize, small_broadcast, table
+from tsgrid.llm.ngram_jaccard_join import ngram_jaccard_components
+from tsgrid.llm.quality_rules import quality_rules
+from tsgrid.llm.secret_scan import redact
+from tsgrid.llm.toxicity import toxicity
+
+
+def _drop(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    """The documents without the rejected ids (doc_id), which are broadcast only if their count allows."""
+    ids = materialize(rejected.select("doc_id").distinct(), f"rejected-{name}")
+    return docs.where("doc_id is not null").join(small_broadcast(ids, ids.count()), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep. An id is one document: it goes if any of its rows fails; rows
+    without an id go, as later stages can't tell them apart."""
+    return _drop(docs, quality_rules(docs).where(~F.col("kept")), "quality")
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic; the labelled texts are those among this stage's documents."""
+    return _drop(docs, toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"), "toxicity")
+
+
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id (of repeated ids one row)."""
+    groups = ngram_jaccard_components(docs)
+    kept = _drop(docs, groups.where("doc_id <> component_id"), "copies")
+    twice = materialize(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    n = twice.count()
+    if not n:
+        return kept
+    first = kept.join(small_broadcast(twice, n), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return _drop(kept, twice, "repeated").unionByName(first)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by a mark."""
+    out = redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of at most 4096 tokens."""
+    return best_fit_packing(docs)
 
-from tsgrid.llm.common import materialize, table
 
-STAGES: list = []
+STAGES = [("quality", quality), ("toxicity", clean), ("ngram_jaccard_join", unique), ("secrets", without_secrets), ("packing", packed)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage over all that its predecessor kept, each written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
