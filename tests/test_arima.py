@@ -85,16 +85,38 @@ def test_batched_order_search_equals_single_fits(spark):
     rows = [(k, T0 + dt.timedelta(hours=i), float(v)) for k, vals in x.items() for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, y double")
     f = split_by_time(fill_missing(df, sp), sp, T0 + dt.timedelta(hours=150))
-    grid = candidate_grid(spark, (0, 1), (0, 1), (0, 1), (0, 1), (0, 1), (0, 1), s=6, max_combos=8,
-                          prune="stratified")
+    grid = candidate_grid(spark, ((0, 1),) * 6, s=6, max_combos=8, prune="stratified")
     res = {(r["k"], r["candidate_id"]): r for r in arima_order_search(f, sp, grid).collect()}
     assert len(res) == 16
+    # the common sample: the eight picks difference by 6 at most, use a long AR of 10 and lags up to 6
+    assert {r["nobs"] for r in res.values()} == {150 - 22}
     for c in grid.collect():
-        single = {r["k"]: r for r in fit_arima(f, sp, (c.p, c.d, c.q), (c.sp, c.sd, c.sq)).collect()}
+        single = {r["k"]: r for r in fit_arima(f, sp, (c.p, c.d, c.q), (c.sp, c.sd, c.sq), long_ar=10, start=22).collect()}
         for k, r in single.items():
             b = res[(k, c.candidate_id)]
-            assert b["converged"] == r["converged"]
+            assert b["converged"] == r["converged"] and b["nobs"] == r["nobs"]
             if r["converged"]:
                 assert b["aic"] == pytest.approx(r["aic"], rel=1e-9)
     ranks = sorted(r["rank"] for (k, _), r in res.items() if k == "a")
     assert ranks == list(range(1, 9))
+    for r in res.values():
+        rivals = [q for (k, _), q in res.items() if k == r["k"] and (q["order"][1], q["seasonal_order"][1]) == (r["order"][1], r["seasonal_order"][1])]
+        assert r["rank_within_d"] == 1 + sum(q["rank"] < r["rank"] for q in rivals)
+
+
+def test_white_noise_picks_the_mean_model(spark):
+    from tsgrid.operators.arima import arima_order_search
+    sp = SPEC.with_(period=6)
+    rng = np.random.default_rng(8)
+    rows = [(k, T0 + dt.timedelta(hours=i), float(v)) for k in "abc" for i, v in enumerate(rng.normal(size=700))]
+    f = split_by_time(fill_missing(spark.createDataFrame(rows, "k string, ts timestamp_ntz, y double"), sp), sp, T0 + dt.timedelta(hours=690))
+    res = arima_order_search(f, sp, candidate_grid(spark, s=6))
+    assert res.count() == 3 * 144
+    mean = ([0, 0, 0], [0, 0, 0, 6])
+    for k in "abc":
+        mine = [r for r in res.where(f"k = '{k}'").collect()]
+        assert len({r["nobs"] for r in mine}) == 1
+        best = min(mine, key=lambda r: r["bic"])
+        assert (list(best["order"]), list(best["seasonal_order"])) == mean
+        top = min(mine, key=lambda r: r["rank"])
+        assert top["order"][1] == 0 and top["seasonal_order"][1] == 0

@@ -63,10 +63,10 @@ def test_raw_scan_and_store(spark, tmpdir_fresh):
     assert zero_err >= (src["cc"] == "error").sum()
     store = os.path.join(tmpdir_fresh, "store")
     written = build_store(raw, store)
-    assert written == sorted(days)
+    assert [d for d, _ in written] == sorted(days)
     assert build_store(read_raw(spark, raw_dir), store) == []  # re-run adds nothing
     st = read_store(spark, store)
-    assert dict(st.dtypes)["square_id"] == "smallint" and dict(st.dtypes)["internet_traffic"] == "float"
+    assert dict(st.dtypes)["square_id"] == "int" and dict(st.dtypes)["internet_traffic"] == "float"
     n_pairs = src.groupby(["day", "square_id", "time_interval"]).ngroups
     assert st.count() == n_pairs
     # totals equal the raw sums (float32 rounding of each stored cell aside)
@@ -142,3 +142,38 @@ def test_null_tokens_sum(spark, tmpdir_fresh):
     got = {r["square_id"]: r["internet_traffic"] for r in collapse(raw, ["square_id"], out_type="double").collect()}
     assert got == {7: 5.0, 8: 0.0}
     assert {r["day"] for r in raw.collect()} == {"2013-11-01"}
+
+
+def _write(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+
+
+def test_files_of_one_day_add_up(spark, tmpdir_fresh):
+    """One file per batch, and a file that arrives after its day was committed, lose no row."""
+    raw, store = os.path.join(tmpdir_fresh, "2020-01-01-dump"), os.path.join(tmpdir_fresh, "store")
+    line = "{}\t1383260400000\t39\t\t\t\t\t{}"
+    _write(raw, "a-2013-11-01.txt", [line.format(40000, 1.5)])
+    _write(raw, "b-2013-11-01.txt", [line.format(2, 2.5)])
+    assert ingest_available(spark, raw, store, os.path.join(tmpdir_fresh, "ck"), max_files_per_batch=1) == 2
+    _write(raw, "c-2013-11-01.txt", [line.format(2, 4.0)])
+    assert ingest_available(spark, raw, store, os.path.join(tmpdir_fresh, "ck")) == 1
+    got = sorted((r.square_id, r.internet_traffic, r.day) for r in read_store(spark, store).collect())
+    assert got == [(2, 2.5, "2013-11-01"), (2, 4.0, "2013-11-01"), (40000, 1.5, "2013-11-01")]
+    # the batch build skips by file, too, and agrees
+    other = os.path.join(tmpdir_fresh, "other")
+    assert len(build_store(read_raw(spark, raw + "/[ab]*"), other)) == 2
+    assert len(build_store(read_raw(spark, raw), other)) == 1
+    assert build_store(read_raw(spark, raw), other) == []
+    assert sorted((r.square_id, r.internet_traffic, r.day) for r in read_store(spark, other).collect()) == got
+
+
+def test_no_input_raises(spark, tmpdir_fresh):
+    raw = os.path.join(tmpdir_fresh, "raw")
+    os.makedirs(raw)
+    with pytest.raises(ValueError, match="no raw file"):
+        build_store(read_raw(spark, raw), os.path.join(tmpdir_fresh, "store"))
+    _write(raw, "undated.txt", ["1\t1383260400000\t39\t\t\t\t\t1"])
+    with pytest.raises(Exception, match="no day in the path"):
+        read_raw(spark, raw).select("day").collect()

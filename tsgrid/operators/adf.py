@@ -127,6 +127,7 @@ def adf(df: DataFrame, spec: SeriesSpec, maxlag: int | None = None, autolag: boo
                 L = best[1]
                 # reported like an OLS likelihood AIC (adds the constant n(ln 2pi + 1))
                 ic = best[0] + n_search * (math.log(2 * math.pi) + 1)
+                ic = ic if math.isfinite(ic) else None  # a perfect fit, e.g. a constant series
             else:
                 L = mk_
             idx = [0, 1, *range(2, 2 + L), k - 1]

@@ -52,14 +52,14 @@ def top_key(totals_df: DataFrame, key: str = "square_id", total: str = "total_in
                      .orderBy(F.col(total).desc(), F.col(key).asc()).limit(n))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs, by=(), names=None, block: int = 8192) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs, by=(), names=None) -> DataFrame:
     """Linear-interpolated quantiles (pandas / quantile_cont) per group, exactly, without
     holding a group's values in one task: rows are ranked with ``value_ranks`` and the
     two order statistics around (n-1)q are picked by conditional partial aggregates."""
     from ..plans.blocks import value_ranks
     by = list(by)
     names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
-    x = value_ranks(df.select(*by, F.col(col).cast("double").alias("_v")), by, "_v", block=block,
+    x = value_ranks(df.select(*by, F.col(col).cast("double").alias("_v")), by, "_v",
                     rank_col="_r", n_col="_n")
     aggs = []
     for i, q in enumerate(qs):
@@ -104,7 +104,7 @@ def spread(df: DataFrame, col: str, by=()) -> DataFrame:
     x = df.groupBy(*by).agg(F.avg(v).alias("mean"), F.max(v).alias("max"))
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by, ["q25", "median", "q75"])
     x = x.join(q, on=list(by)) if by else x.crossJoin(F.broadcast(q))  # one aggregate row
-    return x.select(*by, "median", "mean", "max", (F.col("max") / F.col("median")).alias("peak_to_median"),
+    return x.select(*by, "median", "mean", "max", F.try_divide("max", "median").alias("peak_to_median"),
                     "q25", "q75", (F.col("q75") - F.col("q25")).alias("iqr"))
 
 
@@ -127,11 +127,13 @@ def kde(df: DataFrame, col: str, by=(), points: int = KDE_POINTS, cut: float = K
             .withColumn("_dx", (F.col("_hi") - F.col("_lo") + F.lit(2 * cut) * F.col("_h")) / F.lit(points - 1)))
     x = vals.join(st, on=by, how="inner") if by else vals.crossJoin(F.broadcast(st))
     reach = F.lit(KDE_ZMAX) * F.col("_h")
-    j0 = F.greatest(F.lit(0), F.ceil((F.col("_x") - reach - F.col("_a")) / F.col("_dx")).cast("int"))
-    j1 = F.least(F.lit(points - 1), F.floor((F.col("_x") + reach - F.col("_a")) / F.col("_dx")).cast("int"))
+    # a constant or one-row group has no bandwidth: no term, and null densities
+    x = x.where(F.col("_h") > 0)
+    j0 = F.greatest(F.lit(0), F.ceil(F.try_divide(F.col("_x") - reach - F.col("_a"), F.col("_dx"))).cast("int"))
+    j1 = F.least(F.lit(points - 1), F.floor(F.try_divide(F.col("_x") + reach - F.col("_a"), F.col("_dx"))).cast("int"))
     x = x.where(j0 <= j1).withColumn("point", F.explode(F.sequence(j0, j1)))
     gx = F.col("_a") + F.col("point") * F.col("_dx")
-    z = (gx - F.col("_x")) / F.col("_h")
+    z = F.try_divide(gx - F.col("_x"), F.col("_h"))
     x = x.withColumn("_term", F.col("_c") * F.exp(F.lit(-0.5) * z * z))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
     dens = x.groupBy(*by, "point").agg(F.sum("_term").alias("_s"))
@@ -140,7 +142,7 @@ def kde(df: DataFrame, col: str, by=(), points: int = KDE_POINTS, cut: float = K
                      "_a", "_dx", "_n", "_h")
     out = grid.join(dens, on=[*by, "point"], how="left")
     return out.select(*by, "point", (F.col("_a") + F.col("point") * F.col("_dx")).alias("x"),
-                      (F.coalesce(F.col("_s"), F.lit(0.0)) / norm).alias("density"))
+                      F.try_divide(F.coalesce(F.col("_s"), F.lit(0.0)), norm).alias("density"))
 
 
 def coverage(df: DataFrame, key: str, time: str) -> DataFrame:

@@ -13,7 +13,7 @@ def zscore_outliers(df: DataFrame, spec: SeriesSpec, threshold: float = 3.0) ->
     Mean and std are a per-key partial aggregate joined back (no whole-series window)."""
     v = F.col(spec.value).cast("double")
     st = df.groupBy(*spec.keys).agg(F.avg(v).alias("_mu"), F.stddev_samp(v).alias("_sd"))
-    z = (v - F.col("_mu")) / F.col("_sd")
+    z = F.try_divide(v - F.col("_mu"), F.col("_sd"))  # null on a constant series, never an outlier
     return (df.join(st, on=spec.keys)
               .withColumn("z", z)
               .withColumn("is_outlier", F.coalesce(F.abs(F.col("z")) > F.lit(threshold), F.lit(False)))

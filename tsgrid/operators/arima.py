@@ -48,6 +48,41 @@ def _dot(arr_col: str, coef_col: str, offset=None):
     return F.aggregate(z, F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _innovations(x: DataFrame, wspec: SeriesSpec, fit_rows: DataFrame, m: int) -> DataFrame:
+    """Adds ``_e``: residuals of a long AR(m) of ``_w``, fitted by Yule-Walker on ``fit_rows``."""
+    yw = yule_walker(fit_rows.select(*wspec.keys, wspec.time, "_w"), wspec, m)
+
+    def res_build(h, w):
+        past = F.reverse(F.collect_list("_w").over(w.rowsBetween(-m, -1)))
+        return h.select(*h.columns, past.alias("_past"))
+
+    x = over_blocks(x, wspec, before=m, after=0, build=res_build).join(
+        yw.select(*wspec.keys, "phi", F.col("mu").alias("_mu")), on=wspec.keys, how="left")
+    e = F.when(F.size("_past") == m, (F.col("_w") - F.col("_mu")) - _dot("_past", "phi", F.col("_mu")))
+    return x.withColumn("_e", e).drop("_past", "phi", "_mu")
+
+
+def _least_squares(G: np.ndarray, n: int, idx: list, target: int) -> dict:
+    """Coefficients, SSR, AIC and BIC of the regressors ``idx`` from a Gram matrix of n rows."""
+    err, beta, ssr = None, None, float("nan")
+    try:
+        if n <= len(idx):
+            raise ValueError(f"too few rows ({n}) for {len(idx)} parameters")
+        A, rhs = G[np.ix_(idx, idx)], G[idx, target]
+        scale = np.sqrt(np.maximum(np.diag(A), 1e-300))
+        As = A / np.outer(scale, scale)
+        if np.linalg.cond(As) > 1e12:
+            raise np.linalg.LinAlgError("ill-conditioned normal equations")
+        beta = np.linalg.solve(As, rhs / scale) / scale
+        ssr = max(float(G[target, target] - 2 * beta @ rhs + beta @ A @ beta), 0.0)
+    except Exception as ex:  # noqa: BLE001 - reported per fit
+        err = str(ex)
+    ok = err is None and ssr > 0 and np.isfinite(ssr)
+    fit = n * math.log(ssr / n) if ok else float("inf")
+    return {"beta": beta, "sigma2": ssr / n if ok else None, "aic": fit + 2 * len(idx), "bic": fit + len(idx) * math.log(max(n, 1)),
+            "converged": bool(ok), "error": err}
+
+
 def _features(df: DataFrame, spec: SeriesSpec, order, seasonal, split_col: str, long_ar: int | None):
     """Rows with w, the innovation estimate e and the regressor array ``_f`` = [1, AR lags, MA lags, w]."""
     s = spec.period
@@ -68,17 +103,7 @@ def _features(df: DataFrame, spec: SeriesSpec, order, seasonal, split_col: str,
     x = over_blocks(df, spec, before=reach, after=0, build=diff_build) if reach else df.withColumn("_w", y)
     if ma:
         m = long_ar or max(10, max(ar + ma) + len(ar) + len(ma) + 1)
-        wspec = spec.with_(value="_w")
-        yw = yule_walker(x.where(F.col(split_col) == "train").select(*keys, spec.time, "_w"), wspec, m)
-
-        def res_build(h, w):
-            past = F.reverse(F.collect_list("_w").over(w.rowsBetween(-m, -1)))
-            return h.select(*h.columns, past.alias("_past"))
-
-        x = over_blocks(x, spec, before=m, after=0, build=res_build).join(
-            yw.select(*keys, "phi", F.col("mu").alias("_mu")), on=keys, how="left")
-        e = F.when(F.size("_past") == m, (F.col("_w") - F.col("_mu")) - _dot("_past", "phi", F.col("_mu")))
-        x = x.withColumn("_e", e).drop("_past", "phi", "_mu")
+        x = _innovations(x, spec.with_(value="_w"), x.where(F.col(split_col) == "train"), m)
     else:
         x = x.withColumn("_e", F.lit(None).cast("double"))
     reach2 = max(ar + ma) if (ar or ma) else 0
@@ -98,28 +123,10 @@ def _solve_params(g: DataFrame, keys, k: int) -> DataFrame:
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in pdf.iterrows():
-            n = int(row["n"])
-            G = np.asarray(row["g"], dtype=float).reshape(k, k)
-            A, rhs = G[: k - 1, : k - 1], G[: k - 1, k - 1]
-            err, beta, ssr = None, None, float("nan")
-            try:
-                if n <= k - 1:
-                    raise ValueError(f"too few rows ({n}) for {k - 1} parameters")
-                scale = np.sqrt(np.maximum(np.diag(A), 1e-300))
-                As = A / np.outer(scale, scale)
-                if np.linalg.cond(As) > 1e12:
-                    raise np.linalg.LinAlgError("ill-conditioned normal equations")
-                beta = np.linalg.solve(As, rhs / scale) / scale
-                ssr = float(G[k - 1, k - 1] - 2 * beta @ rhs + beta @ A @ beta)
-                ssr = max(ssr, 0.0)
-            except Exception as ex:  # noqa: BLE001 - reported per candidate like the reference
-                err = str(ex)
-            ok = err is None and ssr > 0 and np.isfinite(ssr)
-            npar = k - 1
-            aic = n * math.log(ssr / n) + 2 * npar if ok else float("inf")
-            bic = n * math.log(ssr / n) + npar * math.log(n) if ok else float("inf")
-            out.append([*[row[c] for c in keys], beta.tolist() if beta is not None else None,
-                        ssr / n if ok else None, n, aic, bic, bool(ok), err])
+            n, G = int(row["n"]), np.asarray(row["g"], dtype=float).reshape(k, k)
+            fit = _least_squares(G, n, list(range(k - 1)), k - 1)
+            out.append([*[row[c] for c in keys], fit["beta"].tolist() if fit["beta"] is not None else None,
+                        fit["sigma2"], n, fit["aic"], fit["bic"], fit["converged"], fit["error"]])
         return pd.DataFrame(out, columns=[*keys, "beta", "sigma2", "nobs", "aic", "bic", "converged", "error"])
 
     schema = (f"{kt}, beta array<double>, sigma2 double, nobs long, aic double, bic double, "
@@ -128,12 +135,13 @@ def _solve_params(g: DataFrame, keys, k: int) -> DataFrame:
 
 
 def fit_arima(df: DataFrame, spec: SeriesSpec, order=(1, 1, 1), seasonal=(1, 1, 1), split_col: str = "split",
-              long_ar: int | None = None, features: DataFrame | None = None) -> DataFrame:
-    """M1: per key (beta = [const, AR..., MA...], sigma2, nobs, aic, bic, converged, error)."""
+              long_ar: int | None = None, features: DataFrame | None = None, start: int = 0) -> DataFrame:
+    """M1: per key (beta = [const, AR..., MA...], sigma2, nobs, aic, bic, converged, error), from the train
+    rows at position ``start`` on (0: all; the order search's common sample begins later)."""
     x, ar, ma = (features, *lag_sets(order, seasonal, spec.period)) if features is not None else \
         _features(df, spec, order, seasonal, split_col, long_ar)
     k = 2 + len(ar) + len(ma)
-    g = gram(x.where(F.col(split_col) == "train"), spec.keys, array_col="_f", k=k)
+    g = gram(x.where((F.col(split_col) == "train") & (F.col(POS) >= start)), spec.keys, array_col="_f", k=k)
     params = _solve_params(g, spec.keys, k)
     return (params.withColumn("order", F.array(*[F.lit(v) for v in order]))
                   .withColumn("seasonal_order", F.array(*[F.lit(v) for v in (*seasonal, spec.period)])))
@@ -149,7 +157,7 @@ def forecast_arima(df: DataFrame, spec: SeriesSpec, order=(1, 1, 1), seasonal=(1
     x, ar, ma = _features(df, spec, order, seasonal, split_col, long_ar)
     if checkpoint:
         from ..session import cut_lineage
-        x = cut_lineage(x.select(*spec.keys, spec.time, spec.value, split_col, "_w", "_f"))
+        x = cut_lineage(x.select(*spec.keys, spec.time, spec.value, POS, split_col, "_w", "_f"))
     params = fit_arima(df, spec, order, seasonal, split_col, long_ar, features=x)
     k = 2 + len(ar) + len(ma)
     t = x.where(F.col(split_col) == "test").join(params.select(*spec.keys, "beta"), on=spec.keys, how="left")
@@ -168,19 +176,23 @@ def _dot_expr(a, b):
 
 # ------------------------------------------------------------------ order search
 
-def candidate_grid(spark: SparkSession, p_range=(0, 1, 2), d_range=(0, 1), q_range=(0, 1, 2), P_range=(0, 1),
-                   D_range=(0, 1), Q_range=(0, 1), s: int = 144, max_combos: int | None = 24,
+# The published default search space, p, d, q, P, D, Q (outermost first).
+ORDER_SPACE = ((0, 1, 2), (0, 1), (0, 1, 2), (0, 1), (0, 1), (0, 1))
+
+
+def candidate_grid(spark: SparkSession, space=ORDER_SPACE, s: int = 144, max_combos: int | None = None,
                    prune: str = "stratified") -> DataFrame:
-    """The lexicographic product of the six ranges (p outermost), pruned to ``max_combos``.
+    """The lexicographic product of the six ranges of ``space``; all of it unless ``max_combos`` is given.
 
     prune='stride' keeps every step-th combination (step = total // max_combos) and the
-    first max_combos of those, as the reference does (with 144 combinations and a cap of
-    18 every kept combination has P = D = Q = 0); 'stratified' spreads the picks evenly
-    inside every (P, D, Q) group so seasonal terms are actually tried.
+    first max_combos of those (with 144 combinations and a cap of 18 every kept one has
+    P = D = Q = 0); 'stratified' spreads the picks evenly inside every (P, D, Q) group so
+    seasonal terms are actually tried.
     """
+    d_range, q_range, P_range, D_range, Q_range = (list(r) for r in space[1:])
     # seasonal orders are named sp, sd, sq: Spark column names are case-insensitive
     names = ["p", "d", "q", "sp", "sd", "sq"]
-    ranges = [list(p_range), list(d_range), list(q_range), list(P_range), list(D_range), list(Q_range)]
+    ranges = [list(r) for r in space]
     total = int(np.prod([len(r) for r in ranges]))
     # mixed-radix decoding of the lexicographic index: no join is needed
     g = spark.range(total).withColumnRenamed("id", "candidate_id")
@@ -215,169 +227,95 @@ def candidate_grid(spark: SparkSession, p_range=(0, 1, 2), d_range=(0, 1), q_ran
     return g.select("candidate_id", *names, F.lit(s).alias("s"))
 
 
-def _binom(n: int, k: int) -> int:
-    return math.comb(n, k) if 0 <= k <= n else 0
+def _regressors(c: dict, s: int, lags: list, n_short: int, n_seasonal: int) -> list:
+    return [i for i, lag in enumerate(lags) if lag <= n_short or (lag % s == 0 and 0 < lag // s <= n_seasonal)]
 
 
 def arima_order_search(df: DataFrame, spec: SeriesSpec, grid: DataFrame, subsample: int | None = None,
                        split_col: str = "split", long_ar: int | None = None) -> DataFrame:
-    """M2: fit every candidate on the last ``subsample`` train rows of every series, in ONE
-    job keyed by (key, candidate_id); rank by AIC (1 = best per key, ties by candidate_id).
-
-    The candidate table is the search space (at most max_combos rows, a proven small
-    bound): its rows become one struct array that every data row is exploded over.
-    Lag offsets are the static union over the space; each candidate's differencing
-    coefficients, regressor mask and long-AR order are column values, so the
-    differencing, the long AR (Yule-Walker), the innovations, the regressors, the Gram
-    matrices and the solves all run once for all (key, candidate) pairs.
-    Rows: key, candidate_id, order, seasonal_order, aic, bic, converged, error, rank.
+    """M2: fit every candidate on the train rows (the last ``subsample`` ones if given) of every series in
+    ONE job and rank by AIC (1 = best per key, ties by candidate_id).
+
+    All candidates of a key are fitted on one common sample: the rows whose differences, long-AR innovations
+    (one length for all) and lags exist for every candidate. So n is the same and AIC is comparable; across
+    different (d, D) the regressand differs, hence also ``rank_within_d``. The candidates of one (d, D) share
+    every column, so a series is differenced once per (d, D) of the grid, gives one Gram matrix of all lags,
+    and each candidate is solved from its rows and columns of that matrix.
+    Rows: key, candidate_id, order, seasonal_order, nobs, aic, bic, fit_seconds, converged, error, rank, rank_within_d.
     """
-    from .correlogram import lag_moments, levinson_phi
     from .select import tail_rows
-    cands = [r.asDict() for r in grid.orderBy("candidate_id").collect()]  # <= max_combos rows
+    cands = [r.asDict() for r in grid.orderBy("candidate_id").collect()]  # the search space, at most 6 small ranges
     s = int(cands[0]["s"])
     if any(int(c["s"]) != s for c in cands):
         raise ValueError("one seasonal period per search")
-    dmax = max(c["d"] for c in cands)
-    Dmax = max(c["sd"] for c in cands)
-    ar_u = sorted(set(range(1, max(c["p"] for c in cands) + 1)) |
-                  {s * i for i in range(1, max(c["sp"] for c in cands) + 1)})
-    ma_u = sorted(set(range(1, max(c["q"] for c in cands) + 1)) |
-                  {s * i for i in range(1, max(c["sq"] for c in cands) + 1)})
-    diff_u = sorted({j + s * i for j in range(dmax + 1) for i in range(Dmax + 1)})
-    reach_max = max(ar_u + ma_u) if (ar_u or ma_u) else 0
-    m_max = long_ar or max(10, reach_max + len(ar_u) + len(ma_u) + 1)
+    kinds = sorted({(c["d"], c["sd"]) for c in cands})
+    ar_u, ma_u = (sorted({lag for c in cands for lag in lag_sets((c["p"], 0, c["q"]), (c["sp"], 0, c["sq"]), s)[i]}) for i in (0, 1))
+    reach = max(max(diff_coefficients(d, sd, s)) for d, sd in kinds)
+    lag_max = max(ar_u + ma_u, default=0)
+    m = (long_ar or max(10, lag_max + len(ar_u) + len(ma_u) + 1)) if ma_u else 0
+    start = reach + m + lag_max
     k = 2 + len(ar_u) + len(ma_u)
-
-    def coef(c, lag):
-        tot = 0
-        for j in range(c["d"] + 1):
-            for i in range(c["sd"] + 1):
-                if j + s * i == lag:
-                    tot += _binom(c["d"], j) * (-1) ** j * _binom(c["sd"], i) * (-1) ** i
-        return float(tot)
-
-    def cand_struct(c):
-        ar = [(lag <= c["p"]) if lag < s else (lag // s <= c["sp"] and lag % s == 0) for lag in ar_u]
-        ma = [(lag <= c["q"]) if lag < s else (lag // s <= c["sq"] and lag % s == 0) for lag in ma_u]
-        n_ar, n_ma = sum(ar), sum(ma)
-        has_ma = n_ma > 0
-        m_c = (long_ar or max(10, max([lg for lg, on in zip(ar_u + ma_u, ar + ma) if on] or [0]) + n_ar + n_ma + 1)) \
-            if has_ma else 0
-        sel = [0] + [1 + i for i, on in enumerate(ar) if on] + [1 + len(ar_u) + i for i, on in enumerate(ma) if on]
-        return F.struct(F.lit(int(c["candidate_id"])).alias("candidate_id"),
-                        F.array(*[F.lit(coef(c, lag)) for lag in diff_u]).alias("dc"),
-                        F.lit(c["d"] + s * c["sd"]).alias("reach"),
-                        F.array(*[F.lit(v) for v in ar]).alias("arm"),
-                        F.array(*[F.lit(v) for v in ma]).alias("mam"),
-                        F.lit(m_c).alias("m"),
-                        F.array(*[F.lit(i) for i in sel]).alias("sel"),
-                        F.array(*[F.lit(int(v)) for v in (c["p"], c["d"], c["q"])]).alias("order"),
-                        F.array(*[F.lit(int(v)) for v in (c["sp"], c["sd"], c["sq"], s)]).alias("seasonal_order"))
+    diff_u = sorted({lag for d, sd in kinds for lag in diff_coefficients(d, sd, s)})
 
     train = df.where(F.col(split_col) == "train")
     if subsample:
         train = tail_rows(train, spec, subsample)
         first = train.groupBy(*spec.keys).agg(F.min(POS).alias("_p0"))
         train = train.join(first, on=spec.keys).withColumn(POS, F.col(POS) - F.col("_p0")).drop("_p0")
-    x = (train.select(*spec.keys, spec.time, POS, F.col(spec.value).cast("double").alias("_y"),
-                      F.explode(F.array(*[cand_struct(c) for c in cands])).alias("_c"))
-              .select("*", "_c.candidate_id"))
-    ks = spec.with_(key=(*spec.keys, "candidate_id"), value="_w")
-    keys = ks.keys
-    y = F.col("_y")
+    y = F.col(spec.value).cast("double")
 
     def diff_build(h, w):
-        terms = [F.when(F.element_at("_c.dc", i + 1) == 0, F.lit(0.0))
-                  .otherwise(F.element_at("_c.dc", i + 1) * (y if lag == 0 else F.lag(y, lag).over(w)))
-                 for i, lag in enumerate(diff_u)]
-        tot = terms[0]
-        for t in terms[1:]:
-            tot = tot + t
-        return h.select(*h.columns, F.when(F.col(POS) >= F.col("_c.reach"), tot).alias("_w"))
-
-    x = over_blocks(x, ks, before=max(diff_u), after=0, build=diff_build)
+        past = {lag: (F.col("_y") if lag == 0 else F.lag("_y", lag).over(w)) for lag in diff_u}
+        ws = []
+        for i, (d, sd) in enumerate(kinds):
+            total = None
+            for lag, a in sorted(diff_coefficients(d, sd, s).items()):
+                t = past[lag] * F.lit(float(a))
+                total = t if total is None else total + t
+            ws.append(F.struct(F.lit(i).alias("kind"), total.alias("_w")))
+        return h.select(*h.columns, F.array(*ws).alias("_ws"))
+
+    x = train.select(*spec.keys, spec.time, POS, y.alias("_y"))
+    x = over_blocks(x, spec, before=reach, after=0, build=diff_build)
+    x = x.select(*spec.keys, spec.time, POS, F.inline("_ws"))
+    ks = spec.with_(key=(*spec.keys, "kind"), value="_w")
+    keys = ks.keys
     if ma_u:
-        mom = lag_moments(x.select(*keys, spec.time, "_w"), ks, m_max)
-        mu = x.where(F.col("_w").isNotNull()).groupBy(*keys).agg(F.avg("_w").alias("_mu"))
-        mord = x.groupBy(*keys).agg(F.max("_c.m").alias("_m"))
-        mom = mom.join(mord, on=keys)
-        kt = ", ".join(f"`{c}` {t}" for c, t in mom.select(*keys).dtypes)
-
-        def yw(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("lag")
-            m_c = int(pdf["_m"].iloc[0])
-            r = pdf["s"].to_numpy(dtype=float) / float(pdf["n"].iloc[0])
-            if len(r) < m_c + 1:
-                r = np.concatenate([r, np.zeros(m_c + 1 - len(r))])
-            phi, _ = levinson_phi(r, m_c) if m_c > 0 else (np.zeros(0), 0.0)
-            out = pdf[keys].iloc[:1].copy()
-            out["_phi"] = [phi.tolist()]
-            return out
-
-        phi = mom.groupBy(*keys).applyInPandas(yw, f"{kt}, _phi array<double>").join(mu, on=keys)
-
-        def res_build(h, w):
-            past = F.array(*[F.lag("_w", j).over(w) for j in range(1, m_max + 1)])
-            return h.select(*h.columns, past.alias("_past"))
-
-        x = over_blocks(x, ks, before=m_max, after=0, build=res_build).join(phi, on=keys, how="left")
-        dot = F.aggregate(F.zip_with(F.slice("_past", 1, F.greatest(F.size("_phi"), F.lit(1))), "_phi",
-                                     lambda a, b: (a - F.col("_mu")) * b), F.lit(0.0), lambda acc, v: acc + v)
-        e = F.when((F.col("_c.m") > 0) & (F.size("_phi") > 0), (F.col("_w") - F.col("_mu")) - dot)
-        x = x.withColumn("_e", e).drop("_past", "_phi", "_mu")
+        x = _innovations(x, ks, x, m)
     else:
         x = x.withColumn("_e", F.lit(None).cast("double"))
 
     def feat_build(h, w):
-        f = [F.lit(1.0)]
-        f += [F.when(F.element_at("_c.arm", i + 1), F.lag("_w", lag).over(w)).otherwise(F.lit(0.0))
-              for i, lag in enumerate(ar_u)]
-        f += [F.when(F.element_at("_c.mam", i + 1), F.lag("_e", lag).over(w)).otherwise(F.lit(0.0))
-              for i, lag in enumerate(ma_u)]
-        f += [F.col("_w")]
+        f = [F.lit(1.0)] + [F.lag("_w", i).over(w) for i in ar_u] + [F.lag("_e", j).over(w) for j in ma_u] + [F.col("_w")]
         return h.select(*h.columns, F.array(*f).alias("_f"))
 
-    x = over_blocks(x, ks, before=reach_max, after=0, build=feat_build) if reach_max else \
+    x = over_blocks(x, ks, before=lag_max, after=0, build=feat_build) if lag_max else \
         x.withColumn("_f", F.array(F.lit(1.0), F.col("_w")))
-    g = gram(x, keys, array_col="_f", k=k)
-    meta = x.groupBy(*keys).agg(F.first("_c.sel").alias("_sel"), F.first("_c.order").alias("order"),
-                                F.first("_c.seasonal_order").alias("seasonal_order"))
-    g = g.join(meta, on=keys)
-    kt = ", ".join(f"`{c}` {t}" for c, t in g.select(*keys).dtypes)
+    g = gram(x.where(F.col(POS) >= start), keys, array_col="_f", k=k)
+    kt = ", ".join(f"`{c}` {t}" for c, t in g.select(*spec.keys).dtypes)
+    names = [*spec.keys, "candidate_id", "order", "seasonal_order", "nobs", "aic", "bic", "fit_seconds", "converged", "error"]
 
     def solve_all(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in pdf.iterrows():
-            n = int(row["n"])
-            G = np.asarray(row["g"], dtype=float).reshape(k, k)
-            idx = [int(i) for i in row["_sel"]]
-            err, ssr = None, float("nan")
-            try:
-                if n <= len(idx):
-                    raise ValueError(f"too few rows ({n}) for {len(idx)} parameters")
-                A, rhs = G[np.ix_(idx, idx)], G[idx, k - 1]
-                sc = np.sqrt(np.maximum(np.diag(A), 1e-300))
-                As = A / np.outer(sc, sc)
-                if np.linalg.cond(As) > 1e12:
-                    raise np.linalg.LinAlgError("ill-conditioned normal equations")
-                beta = np.linalg.solve(As, rhs / sc) / sc
-                ssr = max(float(G[k - 1, k - 1] - 2 * beta @ rhs + beta @ A @ beta), 0.0)
-            except Exception as ex:  # noqa: BLE001 - reported per candidate, aic = inf
-                err = str(ex)
-            ok = err is None and ssr > 0 and np.isfinite(ssr)
-            npar = len(idx)
-            aic = n * math.log(ssr / n) + 2 * npar if ok else float("inf")
-            bic = n * math.log(ssr / n) + npar * math.log(n) if ok else float("inf")
-            out.append([*[row[c] for c in keys], list(row["order"]), list(row["seasonal_order"]), aic, bic,
-                        bool(ok), err])
-        return pd.DataFrame(out, columns=[*keys, "order", "seasonal_order", "aic", "bic", "converged", "error"])
+            n, G = int(row["n"]), np.asarray(row["g"], dtype=float).reshape(k, k)
+            for c in cands:
+                if kinds[int(row["kind"])] != (c["d"], c["sd"]):
+                    continue
+                t0 = time.perf_counter()
+                idx = [0] + [1 + i for i in _regressors(c, s, ar_u, c["p"], c["sp"])]
+                idx += [1 + len(ar_u) + i for i in _regressors(c, s, ma_u, c["q"], c["sq"])]
+                fit = _least_squares(G, n, idx, k - 1)
+                out.append([*[row[x] for x in spec.keys], c["candidate_id"], [c["p"], c["d"], c["q"]], [c["sp"], c["sd"], c["sq"], s],
+                            n, fit["aic"], fit["bic"], time.perf_counter() - t0, fit["converged"], fit["error"]])
+        return pd.DataFrame(out, columns=names)
 
     res = g.groupBy(*keys).applyInPandas(
-        solve_all, f"{kt}, order array<int>, seasonal_order array<int>, aic double, bic double, "
-                   "converged boolean, error string")
-    w = Window.partitionBy(*spec.keys).orderBy("aic", "candidate_id")
-    return res.withColumn("rank", F.row_number().over(w))
+        solve_all, f"{kt}, candidate_id int, order array<int>, seasonal_order array<int>, nobs long, aic double, bic double, "
+                   "fit_seconds double, converged boolean, error string")
+    within = [F.get("order", F.lit(1)), F.get("seasonal_order", F.lit(1))]
+    return (res.withColumn("rank", F.row_number().over(Window.partitionBy(*spec.keys).orderBy("aic", "candidate_id")))
+               .withColumn("rank_within_d", F.row_number().over(Window.partitionBy(*spec.keys, *within).orderBy("aic", "candidate_id"))))
 
 
 def select_order(search: DataFrame, keys, ref_key=None) -> DataFrame:

@@ -9,7 +9,7 @@ from ..plans.blocks import POS, ensure_positions, over_blocks
 from ..spec import SeriesSpec
 
 # Model names and their order in every report (baselines first).
-MODEL_ORDER = ["Persistence", "SeasonalNaive", "SARIMA", "LSTM", "Transformer"]
+MODEL_ORDER = ["Persistence", "SeasonalNaive", "SARIMA", "LinearWindow", "GBTWindow"]
 
 
 def lag_forecasts(df: DataFrame, spec: SeriesSpec, models: dict, split_col: str = "split") -> DataFrame:

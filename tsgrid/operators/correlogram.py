@@ -42,12 +42,12 @@ def lag_moments(df: DataFrame, spec: SeriesSpec, nlags: int) -> DataFrame:
 
 def acf(df: DataFrame, spec: SeriesSpec, nlags: int = 200) -> DataFrame:
     """W8 + W10: acf(k) = sum d_t d_{t+k} / sum d_t^2 (global mean, no lag adjustment);
-    band = 1.96 / sqrt(n) with n counted with nulls; ``significant`` = |acf| > band.
+    null on a constant series; band = 1.96 / sqrt(n) with n counted with nulls; ``significant`` = |acf| > band.
     The lag-0 sum is read with a window over the small (key, lag) moments table."""
     m = lag_moments(df, spec, nlags)
     s0 = F.max(F.when(F.col("lag") == 0, F.col("s"))).over(Window.partitionBy(*spec.keys))
     band = F.lit(Z95) / F.sqrt(F.col("n_all").cast("double"))
-    return (m.select(*spec.keys, F.col("lag").cast("int").alias("lag"), (F.col("s") / s0).alias("acf"),
+    return (m.select(*spec.keys, F.col("lag").cast("int").alias("lag"), F.try_divide(F.col("s"), s0).alias("acf"),
                      band.alias("band"))
              .withColumn("significant", F.abs(F.col("acf")) > F.col("band")))
 

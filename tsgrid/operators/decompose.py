@@ -6,6 +6,8 @@ trend    centred moving average over ``period`` rows; for an even period the two
 seasonal mean of the detrended value per phase (position mod period), centred
          to mean 0 (additive) or divided by its mean (multiplicative).
 resid    what is left.
+
+Where a multiplicative trend, phase mean or product is 0 the quotient is null.
 """
 
 from __future__ import annotations
@@ -37,17 +39,17 @@ def decompose(df: DataFrame, spec: SeriesSpec, model: str = "additive", period:
         return hd.withColumn("trend", F.when(full, s / F.lit(p)))
 
     x = over_blocks(x, spec, before=h, after=h, build=build)
-    detr = (v - F.col("trend")) if model == "additive" else (v / F.col("trend"))
+    detr = (v - F.col("trend")) if model == "additive" else F.try_divide(v, F.col("trend"))
     x = x.withColumn("_phase", F.pmod(F.col(POS), F.lit(p))).withColumn("_detr", detr)
     # one aggregate per (key, phase); the series length (for the two-period guard) and
     # the centring mean come from windows over this small table (period rows per key)
     ph = x.groupBy(*spec.keys, "_phase").agg(F.avg("_detr").alias("_pa"), F.count(F.lit(1)).alias("_c"))
     kw = Window.partitionBy(*spec.keys)
     ph = ph.withColumn("_pm", F.avg("_pa").over(kw)).withColumn("_n", F.sum("_c").over(kw))
-    seas = (F.col("_pa") - F.col("_pm")) if model == "additive" else (F.col("_pa") / F.col("_pm"))
+    seas = (F.col("_pa") - F.col("_pm")) if model == "additive" else F.try_divide("_pa", "_pm")
     seas = F.when(F.col("_n") < 2 * p, F.raise_error(F.lit("decompose: fewer than two full periods"))).otherwise(seas)
     ph = ph.select(*spec.keys, "_phase", seas.alias("seasonal"))
     out = x.join(ph, on=[*spec.keys, "_phase"], how="left")
     resid = (v - F.col("trend") - F.col("seasonal")) if model == "additive" else \
-        (v / (F.col("trend") * F.col("seasonal")))
+        F.try_divide(v, F.col("trend") * F.col("seasonal"))
     return out.withColumn("resid", resid).drop("_phase", "_detr")

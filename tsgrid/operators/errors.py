@@ -45,11 +45,11 @@ def error_by(preds: DataFrame, keys, unit: str = "hour", time: str = "ts", wide:
     return x.groupBy(*keys, "model", unit).agg(F.avg("_ae").alias("mae"), F.count(F.lit(1)).alias("n"))
 
 
-def error_cdf(preds: DataFrame, keys) -> DataFrame:
+def error_cdf(preds: DataFrame, keys, time: str = "ts") -> DataFrame:
     """Sorted |e| with cdf = (i-1)/n per (keys, model); ties broken by time."""
     from ..plans.blocks import value_ranks
     g = [*keys, "model"]
-    x = value_ranks(preds.withColumn("abs_err", abs_err()), g, "abs_err", tie_cols=("ts",))
+    x = value_ranks(preds.withColumn("abs_err", abs_err()), g, "abs_err", tie_cols=(time,))
     return x.withColumn("cdf", (F.col("rank") - 1) / F.col("_n")).drop("_n")
 
 
@@ -59,27 +59,27 @@ def error_quantiles(preds: DataFrame, keys, qs=(0.5, 0.9, 0.95)) -> DataFrame:
     return exact_quantiles(preds.withColumn("_ae", abs_err()), "_ae", list(qs), by=[*keys, "model"])
 
 
-def worst_points(preds: DataFrame, keys) -> DataFrame:
+def worst_points(preds: DataFrame, keys, time: str = "ts") -> DataFrame:
     """T-3: first arg-max of |e| per (keys, model) with its timestamp.
 
     ``max`` of the struct (|e|, -epoch, ...) is a plain partial aggregate: the largest
     error wins, the earliest time breaks ties, and no group is sorted or buffered.
     """
     x = preds.withColumn("abs_err", abs_err())
-    best = F.max(F.struct(F.col("abs_err"), (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("_nt"),
-                          F.col("ts"), F.col("y"), F.col("yhat")))
+    best = F.max(F.struct(F.col("abs_err"), (-F.unix_micros(F.col(time).cast("timestamp"))).alias("_nt"),
+                          F.col(time), F.col("y"), F.col("yhat")))
     return (x.groupBy(*keys, "model").agg(best.alias("_b"))
-             .select(*keys, "model", F.col("_b.ts").alias("ts"), F.col("_b.y").alias("y"),
+             .select(*keys, "model", F.col(f"_b.{time}").alias(time), F.col("_b.y").alias("y"),
                      F.col("_b.yhat").alias("yhat"), F.col("_b.abs_err").alias("abs_err")))
 
 
 def compare(metrics: DataFrame, keys, floor: str = "Persistence") -> DataFrame:
-    """Rank models per key on each metric and the MAE gain over the floor model."""
+    """Rank models per key on each metric and the MAE gain over the floor model (null if its MAE is 0)."""
     fl = metrics.where(F.col("model") == floor).select(*keys, F.col("mae").alias("_floor_mae"))
     w = lambda m: Window.partitionBy(*keys).orderBy(F.col(m), F.col("model"))
     return (metrics.join(fl, on=list(keys), how="left")
                    .withColumn("rank_mae", F.rank().over(w("mae")))
                    .withColumn("rank_mape", F.rank().over(w("mape")))
                    .withColumn("rank_rmse", F.rank().over(w("rmse")))
-                   .withColumn("gain_vs_floor", F.round(1 - F.col("mae") / F.col("_floor_mae"), 4))
+                   .withColumn("gain_vs_floor", F.round(1 - F.try_divide("mae", "_floor_mae"), 4))
                    .drop("_floor_mae"))

@@ -42,12 +42,10 @@ def scaled_windows(df: DataFrame, spec: SeriesSpec, length: int, split_col: str
     train = tail_validation(train, spec, val_frac)
     test = w.where(F.col(split_col) == "test").withColumn("role", F.lit("test")).drop("_pos")
     out = train.drop("_pos").unionByName(test)
-    out = out.withColumn("features", array_to_vector("X")).withColumn("label", F.col("y_target"))
-    # iterative fits scan the windows many times: materialise them once in the shared
-    # checkpoint folder (lineage cut, survives executor loss) and keep them in memory/disk
-    from pyspark import StorageLevel
+    # iterative fits scan the windows many times: written once to the shared folder, with one copy of the lags
+    out = out.withColumn("features", array_to_vector("X")).withColumn("label", F.col("y_target")).drop("X", "y_target")
     from ..session import cut_lineage
-    return cut_lineage(out).persist(StorageLevel.MEMORY_AND_DISK), params
+    return cut_lineage(out, "windows"), params
 
 
 def make_estimator(algo: str, cfg: dict, seed: int = 42):
@@ -67,11 +65,6 @@ def fit_window_regressor(windows: DataFrame, algo: str = "linear", cfg: dict | N
     return model, time.perf_counter() - t0
 
 
-def val_mse(model, windows: DataFrame) -> float:
-    v = model.transform(windows.where(F.col("role") == "val"))
-    return v.agg(F.avg(F.pow(F.col("prediction") - F.col("label"), 2))).collect()[0][0]
-
-
 def random_search(spark: SparkSession, windows: DataFrame, algo: str = "linear", space: dict | None = None,
                   n_trials: int = 6, seed: int = 42) -> DataFrame:
     """M7: ``n_trials`` configurations, one value drawn per parameter with a seeded RNG;

@@ -163,34 +163,33 @@ def carry(df: DataFrame, spec: SeriesSpec, item: Column,
     return out.drop(*drop)
 
 
-def value_ranks(df: DataFrame, group, order_col: str, tie_cols=(), block: int = 8192,
-                rank_col: str = "rank", n_col: str = "_n", max_buckets: int = 1 << 20) -> DataFrame:
+def value_ranks(df: DataFrame, group, order_col: str, tie_cols=(), rank_col: str = "rank", n_col: str = "_n") -> DataFrame:
     """Exact 1-based rank of each row within ``group`` ordered by (order_col, tie_cols),
-    without sorting a whole group in one task.
+    without sorting a whole group, or all rows of one value, in one task.
 
-    Each group's value range is cut into ceil(n / block) equal-width buckets (a
-    monotone map, so bucket order is value order); row_number runs within
-    (group, bucket) and each bucket is offset by the running count of the buckets
-    below it, taken from the per-bucket count table. Null values get no rank.
-    Also adds the group size ``n_col``.
+    The rows are range-partitioned by (group, value, tie columns, a row number), so a range
+    is about as large as any other whatever the values' distribution, and equal values are
+    split, too. Ranks run within (group, range); a range is offset by the running count of
+    the group's ranges before it, from a table of one row per group and range. Null values
+    get no rank. Also adds the group size ``n_col``.
     """
     group = list(group)
-    v = F.col(order_col).cast("double")
-    x = df.where(F.col(order_col).isNotNull())
-    st = x.groupBy(*group).agg(F.count(F.lit(1)).alias(n_col), F.min(v).alias("_vlo"), F.max(v).alias("_vhi"))
-    # at most max_buckets per group keeps the running-offset window over the bucket
-    # counts small even for one global group
-    nb = F.least(F.lit(max_buckets), F.greatest(F.lit(1), F.ceil(F.col(n_col) / F.lit(block)))).cast("long")
-    span = F.col("_vhi") - F.col("_vlo")
-    bucket = F.when(span <= 0, F.lit(0)).otherwise(
-        F.least(nb - 1, F.floor((v - F.col("_vlo")) / span * nb))).cast("long")
-    x = (x.join(st, on=group) if group else x.crossJoin(F.broadcast(st))).withColumn("_vb", bucket)
+    order = [order_col, *tie_cols, "_id"]
+    x = value_ranges(df.where(F.col(order_col).isNotNull()), group, order)
     counts = x.groupBy(*group, "_vb").agg(F.count(F.lit(1)).alias("_c"))
-    run = Window.partitionBy(*group).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1) if group else \
-        Window.orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, "_vb", F.coalesce(F.sum("_c").over(run), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*group, "_vb").orderBy(F.col(order_col), *[F.col(c) for c in tie_cols])
-    x = x.withColumn("_rn", F.row_number().over(w))
+    whole = Window.partitionBy(*group)
+    offsets = counts.select(*group, "_vb", F.coalesce(F.sum("_c").over(
+        whole.orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_c").over(whole).alias(n_col))
+    x = x.withColumn("_rn", F.row_number().over(Window.partitionBy(*group, "_vb").orderBy(*order)))
     return (x.join(offsets, on=[*group, "_vb"])
              .withColumn(rank_col, (F.col("_off") + F.col("_rn")).cast("long"))
-             .drop("_vb", "_rn", "_off", "_vlo", "_vhi"))
+             .drop("_vb", "_rn", "_off", "_id"))
+
+
+def value_ranges(df: DataFrame, group: list, order: list) -> DataFrame:
+    """``df`` with a row number ``_id`` and the number ``_vb`` of its range of (group, order)."""
+    from ..session import cut_lineage
+    x = df.withColumn("_id", F.monotonically_increasing_id())
+    # written once: the ranges come from a sample and must be the same for counts and ranks
+    return cut_lineage(x.repartitionByRange(*group, *order).withColumn("_vb", F.spark_partition_id()), "ranges")

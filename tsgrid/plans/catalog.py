@@ -183,7 +183,7 @@ SELECT model, CASE model WHEN 'Persistence' THEN 0 WHEN 'SeasonalNaive' THEN 1 E
 def q_u2(spark, sf):
     from ..operators.baselines import model_rank
     p = hourly_preds(spark, sf)
-    return p.groupBy("model").agg(F.count(F.lit(1)).alias("n")).join(model_rank(), on="model") \
+    return p.groupBy("model").agg(F.count(F.lit(1)).alias("n")).join(model_rank(), on="model", how="left") \
         .select("model", "model_rank", "n")
 
 
@@ -224,19 +224,40 @@ def q_p5(spark, sf):
 
 # --------------------------------------------------------------------- raw, collapse, store-shaped
 
+def _raw_files(spark, sf):
+    """The events as tab-separated raw files below one folder per day, every null token among the missing
+    values: (folder with all but the click rows, folder with each day's click rows, a later file of that day)."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.raw import NULL_TOKENS, RAW_COLUMNS
+    base = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    tokens = F.array(*[F.lit(t) for t in NULL_TOKENS])
+    token = F.element_at(tokens, (F.pmod(F.col("square_id") + F.col("time_interval") / 600000, F.lit(len(NULL_TOKENS))) + 1).cast("int"))
+    raw = raw_events(spark, sf).withColumn("internet_traffic", F.when(F.col("internet_traffic") == "NA", token).otherwise(F.col("internet_traffic")))
+    out = []
+    for name, rows in (("first", raw.where("country_code <> 'click'")), ("late", raw.where("country_code = 'click'"))):
+        (rows.select(*RAW_COLUMNS, "day").repartition("day").write.mode("overwrite").partitionBy("day")
+             .option("sep", "\t").option("header", False).csv(f"{base}/{name}"))
+        out.append(f"{base}/{name}")
+    return out
+
+
 @register("s1_s2_raw_scan_events",
           "WITH " + S.RAW_SRC + "\nSELECT square_id, time_interval, country_code, internet_traffic FROM raw")
 def q_s1(spark, sf):
-    return raw_typed(spark, sf)
+    from ..sources.raw import read_raw
+    keep = ("square_id", "time_interval", "country_code", "internet_traffic")
+    first, late = _raw_files(spark, sf)
+    return read_raw(spark, f"{first}/*/", keep).select(*keep).unionByName(read_raw(spark, f"{late}/*/", keep).select(*keep))
 
 
 @register("a1_collapse_raw",
           "WITH " + S.RAW_SRC + """
-SELECT CAST(square_id AS SMALLINT) AS square_id, time_interval, CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic
+SELECT CAST(square_id AS INTEGER) AS square_id, time_interval, CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic
 FROM raw GROUP BY 1, 2""")
 def q_a1(spark, sf):
     c = raw_collapsed(spark, sf)
-    return c.select(F.col("square_id").cast("short").alias("square_id"), "time_interval", "internet_traffic")
+    return c.select(F.col("square_id").cast("int").alias("square_id"), "time_interval", "internet_traffic")
 
 
 @register("s5_collapse_profile_raw",
@@ -263,12 +284,12 @@ def q_p3(spark, sf):
 
 @register("p2_narrow_types_raw",
           "WITH " + S.RAW_SRC + """
-SELECT CAST(square_id AS SMALLINT) AS square_id, time_interval, CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic,
+SELECT CAST(square_id AS INTEGER) AS square_id, time_interval, CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic,
        CAST(epoch_ms(time_interval) AS TIMESTAMP) AS datetime
 FROM raw GROUP BY 1, 2""")
 def q_p2(spark, sf):
     c = raw_collapsed(spark, sf)
-    return c.select(F.col("square_id").cast("short").alias("square_id"), "time_interval",
+    return c.select(F.col("square_id").cast("int").alias("square_id"), "time_interval",
                     F.col("internet_traffic").cast("float").alias("internet_traffic"),
                     epoch_ms_to_ts("time_interval").alias("datetime"))
 
@@ -585,11 +606,17 @@ def _events_store(spark, sf):
 
 
 _STORE_SQL = "WITH " + S.RAW_SRC.replace("FROM events)", ", strftime(ts, '%Y-%m-%d') AS day FROM events)") + """,
-st AS (SELECT CAST(square_id AS SMALLINT) AS square_id, time_interval,
+st AS (SELECT CAST(square_id AS INTEGER) AS square_id, time_interval,
               CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic, day
        FROM raw GROUP BY square_id, time_interval, day)"""
 
 
+_FILES_SQL = "WITH " + S.RAW_SRC.replace("FROM events)", ", strftime(ts, '%Y-%m-%d') AS day FROM events)") + """,
+st AS (SELECT CAST(square_id AS INTEGER) AS square_id, time_interval, CAST(sum(internet_traffic) AS FLOAT) AS internet_traffic, day,
+              country_code = 'click' AS late, count(*) AS raw_rows
+       FROM raw GROUP BY square_id, time_interval, day, country_code = 'click')"""
+
+
 @register("s3_s6_store_roundtrip_events", _STORE_SQL + "\nSELECT * FROM st")
 def q_s3(spark, sf):
     from ..sources.store import read_store
@@ -619,14 +646,18 @@ def q_s8(spark, sf):
     return t.select("square_id", r("total_internet_traffic", 4))
 
 
-@register("s4_store_report_events", _STORE_SQL + """
-SELECT day, count(*) AS aggregated_rows FROM st GROUP BY 1""")
+@register("s4_store_report_events", _FILES_SQL + """
+SELECT day, sum(raw_rows)::BIGINT AS raw_rows, count(*) AS aggregated_rows, count(DISTINCT late) FILTER (NOT late) AS skipped_files,
+       round(sum(raw_rows) / count(*), 4) AS collapse_factor FROM st GROUP BY day""")
 def q_s4(spark, sf):
-    from ..sources.store import STORE_SCHEMA
-    store = _events_store(spark, sf)
-    st = spark.read.schema(STORE_SCHEMA).option("basePath", store).parquet(store)
-    return (st.select("day", F.col("_metadata.file_path").alias("_f"))
-              .groupBy("day").agg(F.count(F.lit(1)).alias("aggregated_rows")))
+    """The report of a second run that adds each day's late file and skips the first."""
+    from ..sources.raw import read_raw
+    from ..sources.store import build_store, store_report
+    first, late = _raw_files(spark, sf)
+    store = first + "-store"
+    build_store(read_raw(spark, f"{first}/*/"), store)
+    both = read_raw(spark, f"{first}/*/").unionByName(read_raw(spark, f"{late}/*/"))
+    return store_report(both, store, build_store(both, store)).select("day", "raw_rows", "aggregated_rows", "skipped_files", "collapse_factor")
 
 
 # --------------------------------------------------------------------- stationarity
@@ -696,25 +727,56 @@ def q_m13(spark, sf):
     return evaluate(allp, by=["event_type", "model"])
 
 
+#: An autoregressive sub-space whose fits have a closed form: p, d and D in 0..1.
+AR_SPACE = ((0, 1), (0, 1), (0,), (0,), (0, 1), (0,))
+
+# common sample: differences up to 1 + 24 and a lag of 1, so positions 26 and on
+_AR_SEARCH_SQL = "WITH " + ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf")]) + """,
+g AS (SELECT event_type, ts, pos, y, lag(y) OVER k AS y1, lag(y, 24) OVER k AS y24, lag(y, 25) OVER k AS y25
+      FROM hf WINDOW k AS (PARTITION BY event_type ORDER BY pos)),
+w AS (SELECT event_type, ts, pos, d, sd, CASE WHEN d = 0 AND sd = 0 THEN y WHEN sd = 0 THEN y - y1 WHEN d = 0 THEN y - y24
+             ELSE y - y1 - y24 + y25 END AS w
+      FROM g CROSS JOIN (SELECT unnest([0, 0, 1, 1]) AS d, unnest([0, 1, 0, 1]) AS sd)),
+l AS (SELECT *, lag(w) OVER (PARTITION BY event_type, d, sd ORDER BY pos) AS wl FROM w),
+f AS (SELECT event_type, d, sd, count(*) AS n, var_pop(w) * count(*) AS s0, regr_syy(w, wl) - regr_sxy(w, wl) ^ 2 / regr_sxx(w, wl) AS s1
+      FROM l WHERE ts < TIMESTAMP '2024-01-24' AND pos >= 26 GROUP BY 1, 2, 3),
+c AS (SELECT event_type, CAST(p * 4 + d * 2 + sd AS INTEGER) AS candidate_id, [p, d, 0]::INTEGER[] AS "order", [0, sd, 0, 24]::INTEGER[] AS seasonal_order,
+             n AS nobs, n * ln(CASE WHEN p = 0 THEN s0 ELSE s1 END / n) + 2 * (p + 1) AS aic,
+             n * ln(CASE WHEN p = 0 THEN s0 ELSE s1 END / n) + ln(n) * (p + 1) AS bic, d, sd
+      FROM f CROSS JOIN (SELECT unnest([0, 1]) AS p)),
+q AS (SELECT *, CAST(row_number() OVER (PARTITION BY event_type ORDER BY aic, candidate_id) AS INTEGER) AS rank,
+             CAST(row_number() OVER (PARTITION BY event_type, d, sd ORDER BY aic, candidate_id) AS INTEGER) AS rank_within_d FROM c)"""
+
+
+def _search(spark, sf, space=None):
+    from ..operators.arima import ORDER_SPACE, arima_order_search, candidate_grid
+    return arima_order_search(hourly_filled(spark, sf), HOURLY, candidate_grid(spark, space or ORDER_SPACE, s=HOURLY.period))
+
+
+def _search_rows(res):
+    return res.select("event_type", "candidate_id", "order", "seasonal_order", "nobs", r("aic"), r("bic"), "rank", "rank_within_d")
+
+
 @register("m2_order_search_hourly")
 def q_m2(spark, sf):
-    """AIC order search on the last 7 days of train of every series (J4 grid, reference ranges,
-    cap 24, stratified prune)."""
-    from ..operators.arima import arima_order_search, candidate_grid
-    grid = candidate_grid(spark, s=HOURLY.period, max_combos=24, prune="stratified")
-    res = arima_order_search(hourly_filled(spark, sf), HOURLY, grid, subsample=7 * HOURLY.period)
-    return res.select("event_type", "candidate_id", "order", "seasonal_order", r("aic"), r("bic"),
-                      "converged", "error", "rank")
+    """AIC order search over all 144 candidates on the whole train part of every series (no SQL oracle:
+    long-AR innovations; single fits on the common sample agree in tests/test_arima.py)."""
+    return _search_rows(_search(spark, sf))
 
 
-@register("m12_select_order_hourly")
-def q_m12(spark, sf):
-    """Order chosen on the busiest series and reused for all (reference), next to best per key."""
-    from ..operators.arima import arima_order_search, candidate_grid, select_order
+@register("m2_order_search_ar_hourly", _AR_SEARCH_SQL + """
+SELECT event_type, candidate_id, "order", seasonal_order, nobs, round(aic, 6) AS aic, round(bic, 6) AS bic, rank, rank_within_d FROM q""")
+def q_m2_ar(spark, sf):
+    """The same search over the autoregressive sub-space, whose least squares have a closed form."""
+    return _search_rows(_search(spark, sf, AR_SPACE))
+
+
+def _policies(spark, sf, space=None):
+    """Order chosen on the busiest series and reused for all, next to the best per key."""
+    from ..operators.arima import select_order
     from ..session import cut_lineage
-    grid = candidate_grid(spark, s=HOURLY.period, max_combos=24, prune="stride")
     # the search feeds both policies: materialise it once in the shared checkpoint folder
-    res = cut_lineage(arima_order_search(hourly_filled(spark, sf), HOURLY, grid, subsample=7 * HOURLY.period))
+    res = cut_lineage(_search(spark, sf, space))
     top = agg.top_key(agg.totals(hourly(spark, sf), "event_type", "y", name="total"), "event_type", "total")
     ref = [row["event_type"] for row in top.collect()][0]
     per_key = select_order(res, ["event_type"]).select("event_type", F.lit("per_key").alias("policy"),
@@ -724,6 +786,22 @@ def q_m12(spark, sf):
     return per_key.unionByName(shared)
 
 
+@register("m12_select_order_hourly")
+def q_m12(spark, sf):
+    return _policies(spark, sf)
+
+
+@register("m12_select_order_ar_hourly", _AR_SEARCH_SQL + """,
+b AS (SELECT * FROM q WHERE rank = 1),
+top AS (SELECT event_type FROM hr GROUP BY 1 ORDER BY sum(y) DESC, event_type LIMIT 1)
+SELECT event_type, 'per_key' AS policy, candidate_id, "order", seasonal_order FROM b
+UNION ALL
+SELECT k.event_type, 'reference_key', b.candidate_id, b."order", b.seasonal_order FROM (SELECT DISTINCT event_type FROM q) k
+CROSS JOIN (SELECT b.* FROM b SEMI JOIN top ON b.event_type = top.event_type) b""")
+def q_m12_ar(spark, sf):
+    return _policies(spark, sf, AR_SPACE)
+
+
 # --------------------------------------------------------------------- window regressors (M5-M10), timing
 
 WINDOW_LEN = 24
@@ -854,21 +932,16 @@ def q_j3(spark, sf):
     return actual.join(p, on=["event_type", "ts"], how="inner")
 
 
-@register("s11_stream_ingest_events", _STORE_SQL + "\nSELECT * FROM st")
+@register("s11_stream_ingest_events", _FILES_SQL + "\nSELECT square_id, time_interval, internet_traffic, day FROM st")
 def q_s11(spark, sf):
-    """Raw day-files (events as tab-separated text, one folder per day) ingested by the
-    availableNow streaming job into a fresh store, then read back."""
-    import uuid
-    from ..session import scratch_path
+    """Raw files ingested by the availableNow streaming job, a few files per micro-batch; then a second
+    run of the job finds a late file of every day. Read back: one row per file, square and time."""
     from ..sources.store import read_store
     from ..streaming.ingest import ingest_available
-    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    raw_dir, store, ck = f"{base}/raw", f"{base}/store", f"{base}/checkpoint"
-    raw = raw_events(spark, sf)
-    (raw.select("square_id", "time_interval", "country_code", "sms_in", "sms_out", "call_in", "call_out",
-                "internet_traffic", "day")
-        .write.mode("overwrite").partitionBy("day").option("sep", "\t").option("header", False).csv(raw_dir))
-    ingest_available(spark, f"{raw_dir}/*/", store, ck)
+    first, late = _raw_files(spark, sf)
+    store = first + "-store"
+    ingest_available(spark, f"{first}/*/", store, first + "-checkpoint", max_files_per_batch=8)
+    ingest_available(spark, f"{late}/*/", store, late + "-checkpoint")
     return read_store(spark, store)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,11 +50,14 @@ def get_spark(master: str | None = None, app: str = "tsgrid",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) is a scratch folder created and
-    registered; on a cluster the configured shared folder is always used.
+    Only in local mode (tests) is a scratch folder made when the setting is absent; on a
+    cluster a folder of one machine would be lost to the others, so this raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tsgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -61,19 +65,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (survives executor loss).
 
-    The frame is persisted first so the checkpoint write reuses the computed
-    partitions instead of running the lineage a second time; the cache is dropped
-    once the checkpoint files exist.
+    One pass over the plan, unlike ``checkpoint()``, which computes it a second time unless
+    it is cached; the columns can still be pruned.
     """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

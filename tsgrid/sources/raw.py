@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The column order of the raw files.
 RAW_COLUMNS = ["square_id", "time_interval", "country_code", "sms_in", "sms_out",
                "call_in", "call_out", "internet_traffic"]
 
@@ -38,9 +39,8 @@ def read_raw(spark: SparkSession, path: str, keep=("square_id", "time_interval",
     """Scan raw TSV files (a file, a directory or a glob).
 
     Short rows are padded with nulls; only ``keep`` columns are parsed (the scan's
-    ReadSchema is pruned to them). The day of each row comes from its file path
-    (``...YYYY-MM-DD...``), not from its UTC timestamp, so one day-file maps to one
-    store partition.
+    ReadSchema is pruned to them). The day of each row comes from its file's name,
+    not from its UTC timestamp, so one file maps to one store shard.
     """
     text = (spark.read.schema(RAW_TEXT)
                  .option("sep", "\t").option("header", False).option("mode", "PERMISSIVE")
@@ -64,4 +64,18 @@ def shape_raw(text: DataFrame, keep=("square_id", "time_interval", "internet_tra
             cols.append(F.col(c).cast("double").alias(c))
     src = F.col("_metadata.file_path")
     return text.select(*cols, src.alias("source_file"), F.col("_metadata.file_size").alias("_file_size"),
-                       F.regexp_extract(src, r"(\d{4}-\d{2}-\d{2})", 1).alias("day"))
+                       day_of_file(src).alias("day"), file_id(src).alias("src"))
+
+
+def day_of_file(path: Column) -> Column:
+    """The date in the file's name, else that of a ``day=`` folder; a file with neither raises."""
+    date = r"(\d{4}-\d{2}-\d{2})"
+    name = F.regexp_extract(F.regexp_extract(path, r"([^/]+)$", 1), date, 1)
+    folder = F.regexp_extract(path, "/day=" + date + "/", 1)
+    return (F.when(name != "", name).when(folder != "", folder)
+             .otherwise(F.raise_error(F.concat(F.lit("raw: no day in the path "), path))))
+
+
+def file_id(path: Column) -> Column:
+    """A short name of a source file, used as the store's shard name."""
+    return F.substring(F.md5(path), 1, 16)

@@ -3,9 +3,10 @@
 New raw files dropped into the raw folder are picked up once: the file source
 records processed files in the checkpoint, each micro-batch aggregates whole
 files (a file is never split across batches), and the batch is committed to the
-store with dynamic partition overwrite, so a replayed batch rewrites the same
-days with the same rows (idempotent). ``trigger(availableNow=True)`` processes
-what is there and stops, like the reference's skip-existing loop.
+store as one shard per file with dynamic partition overwrite. A replayed batch
+rewrites the same shards with the same rows (idempotent), and a file of a day that
+is already in the store, in another batch or much later, adds its own shard. ``trigger(availableNow=True)`` processes
+what is there and stops.
 """
 
 from __future__ import annotations
