@@ -107,8 +107,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 ORACLE_SQL = r"""
 WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
-w AS (SELECT doc_id, host, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+w AS (SELECT doc_id, host, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 4),
 g2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM g),
 g3 AS (SELECT doc_id, least(3, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), i - 3)) AS k FROM g2 WHERE c > 1),

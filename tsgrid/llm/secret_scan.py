@@ -159,7 +159,7 @@ base AS (SELECT doc_id, start, kind, stop FROM assign UNION ALL SELECT doc_id, s
 windows AS (SELECT doc_id, start, m, k, string_split(substr(m, k::INT, {WINDOW}), '') AS w
     FROM (SELECT doc_id, start, m, unnest(range(1, length(m) - {WINDOW - 2})) AS k FROM candidates WHERE NOT ({allowed} OR {run}))),
 high AS (SELECT doc_id, start + min(k) - 1 AS lo, start + max(k) - 1 + {WINDOW} AS hi FROM windows
-    WHERE list_sum(list_transform(list_distinct(w), c -> ({parts})[len(list_filter(w, x -> x = c)) + 1]))
+    WHERE list_sum(list_transform(list_distinct(w), lambda c: ({parts})[len(list_filter(w, lambda x: x = c)) + 1]))
         <= CASE WHEN regexp_full_match(m, '[0-9a-fA-F]+') THEN {most_sum(LIMITS['hex'])} ELSE {most_sum(LIMITS['base64'])} END
     GROUP BY doc_id, start, m),
 spans AS (SELECT * FROM base UNION ALL SELECT doc_id, lo, 3, hi FROM high WHERE NOT EXISTS (

@@ -124,7 +124,7 @@ WITH u AS (SELECT page_id, html, regexp_replace(regexp_replace(regexp_replace(tr
 q AS (SELECT page_id, '"' || md5(coalesce(html, '')) || '"' AS etag, strlen(coalesce(html, '')) AS size,
     lower(regexp_extract(r, '^(?:[^/?@]*@)?(?:[wW]{{3}}\.)?([^/?:]+)', 1)) AS host, regexp_extract(r, '^[^/?]*:(\d+)(?:[/?]|$)', 1) AS port,
     regexp_replace(regexp_extract(r, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
-    array_to_string(list_sort(list_filter(string_split(regexp_replace(regexp_extract(r, '\?(.*)$', 1), '{TRACKING}', '', 'g'), '&'), x -> x <> '')), '&') AS query FROM u),
+    array_to_string(list_sort(list_filter(string_split(regexp_replace(regexp_extract(r, '\?(.*)$', 1), '{TRACKING}', '', 'g'), '&'), lambda x: x <> '')), '&') AS query FROM u),
 k AS (SELECT page_id, etag, size, CASE WHEN host <> '' THEN host || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || path
     || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS url_key FROM q),
 j AS (SELECT a.page_id, a.url_key, a.etag, b.page_id AS rid, b.etag AS retag, b.size AS rsize
