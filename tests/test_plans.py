@@ -59,3 +59,8 @@ def test_hot_key_is_spread_over_tasks(spark):
     big = spec.with_(block=10 ** 6)
     b = {r["ts"]: r["roll_mean"] for r in rolling(fill_missing(df, big), big, 144).collect()}
     assert len(a) == len(b) == 19999 and all((a[t] is None and b[t] is None) or abs(a[t] - b[t]) < 1e-9 for t in a)
+
+
+def test_lag_products_are_not_expanded(spark):
+    plan = plan_of(spark, "w8_w10_acf_hourly")
+    assert "posexplode" not in plan and plan.count("Generate explode") <= 1  # the halo copies only

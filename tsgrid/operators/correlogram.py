@@ -1,9 +1,8 @@
 """Autocorrelation (W8), partial autocorrelation (W9) and the 95 % band.
 
-Lag products are formed on blocks: each row sees the next K values of its
-series through the halo, the K+1 products are exploded and summed by
-(key, lag) with a partial aggregate, so the n x K products are never held in
-one place. PACF then needs only the K+1 moments of each series: Durbin-Levinson
+Lag products are formed on blocks: a block holds its rows and, through the
+halo, the K after them, and gives K + 1 partial sums; Spark adds K + 1 numbers
+per block by (key, lag), so no n x K products exist. PACF then needs only the K+1 moments of each series: Durbin-Levinson
 runs on that small table, one group of K+1 rows per key.
 """
 
@@ -14,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.blocks import POS, fresh_positions, over_blocks
+from ..plans.blocks import BLK, OWN, POS, fresh_positions, with_halo
 from ..spec import SeriesSpec
 
 # Fixed value: two-sided 95 % normal quantile used for the band.
@@ -29,14 +28,21 @@ def lag_moments(df: DataFrame, spec: SeriesSpec, nlags: int) -> DataFrame:
     x = fresh_positions(df.dropna(subset=[spec.value]), spec)
     x = x.join(st.select(*spec.keys, "_mu"), on=spec.keys) \
          .withColumn("_d", F.col(spec.value).cast("double") - F.col("_mu"))
-    K = nlags
-
-    def build(h, w):
-        return h.withColumn("_ahead", F.collect_list("_d").over(w.rowsBetween(0, K)))
-
-    x = over_blocks(x, spec, before=0, after=K, build=build)
-    x = x.select(*spec.keys, "_d", F.posexplode("_ahead").alias("lag", "_dk"))
-    s = x.groupBy(*spec.keys, "lag").agg(F.sum(F.col("_d") * F.col("_dk")).alias("s"))
+    keys, own = spec.keys, OWN
+
+    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(POS)
+        d, m = pdf["_d"].to_numpy(dtype=float), int(pdf[own].sum())
+        sums = [float(d[:n] @ d[k:k + n]) for k in range(nlags + 1) if (n := min(m, len(d) - k)) > 0]
+        out = pd.DataFrame({"lag": np.arange(len(sums), dtype="int32"), "s": sums})
+        for c in keys:
+            out.insert(0, c, pdf[c].iloc[0])
+        return out[[*keys, "lag", "s"]]
+
+    kt = ", ".join(f"`{c}` {t}" for c, t in x.select(*keys).dtypes)
+    parts = (with_halo(x, spec, before=0, after=nlags).select(*keys, POS, BLK, OWN, "_d")
+             .groupBy(*keys, BLK).applyInPandas(partial, f"{kt}, lag int, s double"))
+    s = parts.groupBy(*keys, "lag").agg(F.sum("s").alias("s"))
     return s.join(st.select(*spec.keys, "n", "n_all"), on=spec.keys)
 
 
@@ -52,20 +58,22 @@ def acf(df: DataFrame, spec: SeriesSpec, nlags: int = 200) -> DataFrame:
              .withColumn("significant", F.abs(F.col("acf")) > F.col("band")))
 
 
-def levinson_phi(r: np.ndarray, order: int):
-    """AR(order) coefficients and innovation variance from autocovariances (Yule-Walker)."""
-    phi = np.zeros(order + 1)
+def levinson(r: np.ndarray, order: int):
+    """Durbin-Levinson on autocovariances r[0..order]: AR coefficients, innovation variance, and the
+    partial autocorrelations 0..order (NaN from where the variance is used up)."""
+    phi, part = np.zeros(order + 1), np.full(order + 1, np.nan)
+    part[0] = 1.0
     v = float(r[0])
     for k in range(1, order + 1):
-        if v <= 0:
+        if not v > 0:
             break
         a = (r[k] - np.dot(phi[1:k], r[1:k][::-1])) / v
         new = phi.copy()
-        new[k] = a
+        new[k] = part[k] = a
         new[1:k] = phi[1:k] - a * phi[1:k][::-1]
         phi = new
         v = v * (1 - a * a)
-    return phi[1:], v
+    return phi[1:], v, part
 
 
 def yule_walker(df: DataFrame, spec: SeriesSpec, order: int) -> DataFrame:
@@ -81,7 +89,7 @@ def yule_walker(df: DataFrame, spec: SeriesSpec, order: int) -> DataFrame:
         r = pdf["s"].to_numpy(dtype=float) / float(pdf["n"].iloc[0])
         if len(r) < order + 1:
             r = np.concatenate([r, np.zeros(order + 1 - len(r))])
-        phi, v = levinson_phi(r, order)
+        phi, v, _ = levinson(r, order)
         out = pdf[keys].iloc[:1].copy()
         out["phi"] = [phi.tolist()]
         out["sigma2"] = v
@@ -91,28 +99,6 @@ def yule_walker(df: DataFrame, spec: SeriesSpec, order: int) -> DataFrame:
     return res.join(mu, on=keys)
 
 
-def _durbin_levinson(r: np.ndarray) -> np.ndarray:
-    """PACF from autocovariances r[0..K] (Yule-Walker at every order)."""
-    K = len(r) - 1
-    out = np.full(K + 1, np.nan)
-    out[0] = 1.0
-    if K == 0 or r[0] == 0:
-        return out
-    phi = np.zeros(K + 1)
-    v = r[0]
-    for k in range(1, K + 1):
-        a = (r[k] - np.dot(phi[1:k], r[1:k][::-1])) / v
-        new = phi.copy()
-        new[k] = a
-        new[1:k] = phi[1:k] - a * phi[1:k][::-1]
-        phi = new
-        v = v * (1 - a * a)
-        out[k] = a
-        if v <= 0:
-            break
-    return out
-
-
 def pacf(df: DataFrame, spec: SeriesSpec, nlags: int = 200) -> DataFrame:
     """W9 + W10: Yule-Walker PACF with lag-adjusted autocovariances s_k / (n - k)."""
     m = lag_moments(df, spec, nlags)
@@ -123,7 +109,7 @@ def pacf(df: DataFrame, spec: SeriesSpec, nlags: int = 200) -> DataFrame:
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lag")
-        vals = _durbin_levinson(pdf["r"].to_numpy(dtype=float))
+        vals = levinson(pdf["r"].to_numpy(dtype=float), len(pdf) - 1)[2]
         out = pdf[keys].copy()
         out["lag"] = pdf["lag"].astype("int32").to_numpy()
         out["pacf"] = vals
