@@ -30,7 +30,7 @@ from ..plans.blocks import POS
 from ..sources.raw import traffic_value
 from . import sqlparts as S
 from .views import (DAILY, DAILY_SPLIT, GRID_WIDTH, HOURLY, HOURLY_SPLIT, daily, hourly, part_totals,
-                    raw_events)
+                    raw_events, table)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -509,9 +509,22 @@ def q_w8(spark, sf):
     return a.select("event_type", "lag", r("acf"), r("band"), "significant")
 
 
-@register("w9_pacf_hourly")
+# Durbin-Levinson as a recursion over the lag, its coefficients in a list
+@register("w9_pacf_hourly", _HR_POS.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+c AS (SELECT event_type, pos, y - avg(y) OVER (PARTITION BY event_type) AS d FROM hp),
+n AS (SELECT event_type, count(*) AS n FROM hr GROUP BY 1),
+s AS (SELECT a.event_type, b.pos - a.pos AS lag, sum(a.d * b.d) AS s
+      FROM c a JOIN c b ON a.event_type = b.event_type AND b.pos BETWEEN a.pos AND a.pos + 200 GROUP BY 1, 2),
+rs AS (SELECT event_type, any_value(n) AS n, list(s / (n - lag) ORDER BY lag) AS rr FROM s JOIN n USING (event_type) GROUP BY 1),
+dl AS (SELECT event_type, 0 AS k, []::DOUBLE[] AS phi, rr[1] AS v, 1.0::DOUBLE AS a FROM rs
+       UNION ALL
+       SELECT event_type, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a2 * phi[k + 1 - j]), a2), v * (1 - a2 * a2), a2
+       FROM (SELECT dl.event_type, k, phi, v, (rr[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rr[k + 2 - j])), 0)) / v AS a2
+             FROM dl JOIN rs ON rs.event_type = dl.event_type WHERE k < 200 AND k + 2 <= len(rr)) q)
+SELECT dl.event_type, CAST(k AS INTEGER) AS lag, round(a, 6) AS pacf, round(1.96 / sqrt(n), 6) AS band, abs(a) > 1.96 / sqrt(n) AS significant
+FROM dl JOIN n ON n.event_type = dl.event_type""")
 def q_w9(spark, sf):
-    p = pacf(hourly(spark, sf), HOURLY, 48)
+    p = pacf(hourly(spark, sf), HOURLY, 200)
     return p.select("event_type", "lag", r("pacf"), r("band"), "significant")
 
 
@@ -715,6 +728,49 @@ def q_m3_ar1(spark, sf):
     return preds.select("event_type", "ts", "model", r("y"), r("yhat"))
 
 
+_AR1_DIFF_SQL = "WITH " + ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf")]) + """,
+d AS (SELECT event_type, ts, pos, y, lag(y) OVER (PARTITION BY event_type ORDER BY pos) AS y1 FROM hf),
+l AS (SELECT *, y - y1 AS w, lag(y - y1) OVER (PARTITION BY event_type ORDER BY pos) AS wl FROM d),
+fit AS (SELECT event_type, regr_intercept(w, wl) AS c, regr_slope(w, wl) AS phi, regr_count(w, wl) AS nobs
+        FROM l WHERE ts < TIMESTAMP '2024-01-24' GROUP BY 1)"""
+
+
+@register("m1_ar1_diff_fit_hourly", _AR1_DIFF_SQL + """
+SELECT event_type, round(c, 6) AS const, round(phi, 6) AS phi, CAST(nobs AS BIGINT) AS nobs FROM fit""")
+def q_m1_ar1_diff(spark, sf):
+    from ..operators.arima import fit_arima
+    p = fit_arima(hourly_filled(spark, sf), HOURLY, (1, 1, 0), (0, 0, 0))
+    return p.select("event_type", F.round(F.col("beta")[0], 6).alias("const"), F.round(F.col("beta")[1], 6).alias("phi"), "nobs")
+
+
+@register("m3_ar1_diff_forecast_hourly", _AR1_DIFF_SQL + """
+SELECT l.event_type, l.ts, 'SARIMA' AS model, round(l.y, 6) AS y, round(c + phi * wl + y1, 6) AS yhat
+FROM l JOIN fit USING (event_type) WHERE l.ts >= TIMESTAMP '2024-01-24'""")
+def q_m3_ar1_diff(spark, sf):
+    from ..operators.arima import forecast_arima
+    preds, _ = forecast_arima(hourly_filled(spark, sf), HOURLY, (1, 1, 0), (0, 0, 0))
+    return preds.select("event_type", "ts", "model", r("y"), r("yhat"))
+
+
+@register("m1_m3_seasonal_ar_hourly", "WITH " + ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf")]) + """,
+l AS (SELECT event_type, ts, y, lag(y, 24) OVER (PARTITION BY event_type ORDER BY pos) AS yl FROM hf),
+fit AS (SELECT event_type, regr_intercept(y, yl) AS c, regr_slope(y, yl) AS phi FROM l WHERE ts < TIMESTAMP '2024-01-24' GROUP BY 1)
+SELECT l.event_type, l.ts, 'SARIMA' AS model, round(l.y, 6) AS y, round(c + phi * yl, 6) AS yhat
+FROM l JOIN fit USING (event_type) WHERE l.ts >= TIMESTAMP '2024-01-24'""")
+def q_m3_seasonal(spark, sf):
+    from ..operators.arima import forecast_arima
+    preds, _ = forecast_arima(hourly_filled(spark, sf), HOURLY, (0, 0, 0), (1, 0, 0))
+    return preds.select("event_type", "ts", "model", r("y"), r("yhat"))
+
+
+@register("a16_timing_summary_events", """
+SELECT event_type AS model, round(avg(value), 2) AS avg_train_s, round(avg(value / 1000), 4) AS avg_infer_s FROM events GROUP BY 1""")
+def q_a16_events(spark, sf):
+    """The timing summary over a log with known rows: the events' values as seconds, by type."""
+    ev = table(spark, sf, "events")
+    return agg.timing_summary(ev.select(F.col("event_type").alias("model"), F.col("value").alias("train_s"), (F.col("value") / 1000).alias("infer_s")))
+
+
 @register("m1_m3_sarima_metrics_hourly")
 def q_m13(spark, sf):
     """SARIMA(1,1,1)(1,1,1,24) least-squares fit on train, one-step forecasts on test, metrics
