@@ -1,6 +1,6 @@
 """Best-fit packing by hierarchical residuals.
 
-Texts are tokenised once (a text's white-space separated parts are encoded once per block and laid end to
+Texts are tokenised once (a worker encodes each white-space separated part once; a text's parts are laid end to
 end) and cut into pieces of at most ``capacity`` tokens. Then, in rounds:
 
 * each partition packs its items best-fit, largest first, in blocks of at most BLOCK items;
@@ -17,10 +17,12 @@ document of its own. Extra columns are not read. An empty table gives an empty r
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,23 +44,57 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class Words:
+    """Ids of the white-space separated parts that this worker has met, encoded once each (dropped at LIMIT)."""
+
+    LIMIT = 1_000_000
+
+    def __init__(self, path: str):
+        self.tok = tokenizer(path)
+        self.reset()
+
+    def reset(self) -> None:
+        self.number: defaultdict[bytes, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def parts_of(self, text: bytes) -> np.ndarray:
+        # the tokenizer lower-cases, and a letter or digit always ends a token before a full stop or comma
+        if b"<|" not in text:
+            text = _STOP.sub(rb"\1 \2", text.lower())
+        return np.array(list(map(self.number.__getitem__, text.split())), np.int64)
+
+    def encode_new(self) -> None:
+        known = len(self.starts) - 1
+        words, lists = [w.decode() for w in islice(self.number, known, None)], []
+        for k in range(0, len(words), 2000):
+            lists += [e.ids for e in self.tok.encode_batch_fast(words[k:k + 2000], add_special_tokens=False)]
+        if lists:
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+
+_STOP = re.compile(rb"([a-z0-9])([.,])(?=\s|$)")
+
+
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    return Words(path)
+
+
 def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path)
+        words = words_of(path)
         for batch in batches:
             raw, off = text_buffers(batch.column("text"))
             for i, j in chunks(off, BLOCK_BYTES):
                 # ASCII white space always ends a token of this kind of file, so its parts stand alone
-                number: defaultdict[bytes, int] = defaultdict()
-                number.default_factory = number.__len__
-                parts = [np.array(list(map(number.__getitem__, raw[off[k]:off[k + 1]].tobytes().split())), np.int64) for k in range(i, j)]
-                words, lists = [w.decode() for w in number], []
-                for k in range(0, len(words), 2000):
-                    lists += [e.ids for e in tok.encode_batch_fast(words[k:k + 2000], add_special_tokens=False)]
-                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                flat = np.fromiter((x for ids in lists for x in ids), np.uint32, int(sizes.sum()))
-                starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                del lists, words, number
+                if len(words.number) > words.LIMIT:
+                    words.reset()
+                parts = [words.parts_of(raw[off[k]:off[k + 1]].tobytes()) for k in range(i, j)]
+                words.encode_new()
+                flat, starts = words.flat, words.starts
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
                 for k, p in enumerate(parts):
                     ids = np.append(gather(flat, starts, p), np.uint32(end_id)).astype("<u4")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .common import chunks, mix, text_buffers
-from .token_counts import compiled, public_path, public_pattern
+from .token_counts import finder, public_path, public_pattern
 
 NONE = np.int32(2**31 - 1)
 LONG = 1024
@@ -190,7 +190,7 @@ def ranks(path: str) -> Ranks:
 
 def encode_texts(batch: pa.RecordBatch, path: str, pattern: str) -> Iterator[np.ndarray]:
     """The ids of each text of a batch."""
-    table, find = ranks(path), compiled(pattern).findall
+    table, find = ranks(path), finder(pattern)
     raw, off = text_buffers(batch.column("text"))
     for i, j in chunks(off, BLOCK_BYTES):
         number: defaultdict[str, int] = defaultdict()

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, ship_package
+from ..session import cut_lineage, ship_package
 
 #: Text bytes that one vectorised numpy step handles (a longer text is its own step).
 CHUNK_BYTES = 1 << 18
@@ -24,16 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` once to the shared checkpoint folder and read it back.
+#: Cuts the lineage: one write to the shared folder, which its owner cleans, and a read back.
+materialize = cut_lineage
 
-    Unlike ``checkpoint()`` this computes the plan once and keeps columns prunable. The files stay in the
-    folder named by ``spark.checkpoint.dir`` (its owner cleans it), so executors may be lost at any time.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows meanwhile: long texts in large batches cost the JVM direct memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def small_broadcast(df: DataFrame, rows: int) -> DataFrame:

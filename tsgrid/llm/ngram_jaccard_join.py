@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import chunks, components, materialize, mix, small_broadcast, text_buffers
+from .common import arrow_batches, chunks, components, materialize, mix, small_broadcast, text_buffers
 
 #: Bytes that separate words, and upper-case ASCII.
 SPACE = np.zeros(256, bool)
@@ -195,8 +195,8 @@ def signatures(grams: np.ndarray, off: np.ndarray, heavy: np.ndarray, percent: i
 #: At most so many n-grams (8 bytes each) are sent to all tasks as heavy; the least count that makes one.
 HEAVY_ROWS, HEAVY_LEAST = 1_000_000, 24
 PIVOT_ROUNDS, SMALL, TILE = 2, 32, 2000
-#: Rows whose sets a task holds at once.
-BLOCK_ROWS = 2500
+#: Rows whose sets a task holds at once, and rows of an Arrow batch.
+BLOCK_ROWS, BATCH_ROWS = 2500, 500
 
 
 def _sets_of(batch: pa.RecordBatch, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,9 +210,15 @@ def _sets_of(batch: pa.RecordBatch, text: str, n: int) -> tuple[np.ndarray, np.n
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in blocks of about BLOCK_ROWS."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        for k in range(0, batch.num_rows, BLOCK_ROWS):
-            yield batch.slice(k, BLOCK_ROWS)
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held.clear()
+    if held and sum(b.num_rows for b in held):
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -260,7 +266,7 @@ def _sign(n: int, percent: int, heavy: np.ndarray):
             at = 0
             while at < len(keep):
                 to, room = at, 0
-                while to < len(keep) and (to == at or room + off[keep[to] + 1] - off[keep[to]] <= 400_000):
+                while to < len(keep) and (to == at or room + off[keep[to] + 1] - off[keep[to]] <= 200_000):
                     room += off[keep[to] + 1] - off[keep[to]]
                     to += 1
                 part = keep[at:to]
@@ -346,8 +352,12 @@ def _linked(percent: int):
 def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                              percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; see the module's text."""
-    spark = docs.sparkSession
-    ship_package(spark)
+    ship_package(docs.sparkSession)
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _components(docs, id_col, text_col, n, percent)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     seen = materialize(rows.mapInArrow(_describe(n), "id long, n long, s1 long, s2 long"), "sets-described")
