@@ -44,6 +44,19 @@ def test_base_places_equal_python_and_methods_add_labels(spark):
     assert lic.license_scan(df.limit(0)).count() == 0
 
 
+def test_diagonals_with_one_vote_count_for_a_template(spark):
+    long = "this work is licensed under a creative commons attribution 4 0 international license"
+    rows = [(1, "Licensed under the CC BY-NC 4.0"), (2, "This work licensed under a Creative Commons Attribution 4.0 International License"),
+            # chance votes on the neighbouring diagonals neither widen nor hide a span, and copies stay apart
+            (3, "under a x this x x work is x " + long + " license x 0 x x a creative x"), (4, (long + " ") * 3), (5, "by nc")]
+    by = {r.doc_id: r for r in lic.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "cc-by-nc-4.0" in by[1].labels.split(",") and abs(by[1].score - 1) < 1e-9  # the phrase 'cc by' is whole
+    assert [(s.label, round(s.share, 2)) for s in by[1].spans if s.label == "cc-by-nc-4.0"] == [("cc-by-nc-4.0", 0.83)]
+    assert by[2].labels == "cc-by-4.0" and round(by[2].score, 2) == 0.83
+    assert [(s.first_word, s.share) for s in by[3].spans] == [(9, 1.0)]
+    assert [s.first_word for s in by[4].spans] == [0, 13, 26] and round(by[5].score, 2) == 0.17
+
+
 def test_gpl_lines_of_the_documents_are_labelled(spark):
     out = lic.license_scan(spark.read.parquet(f"{SF01}/documents.parquet"))
     assert out.where("base_labels like '%gpl%' and labels not like '%gpl-3.0%'").count() == 0

@@ -6,9 +6,10 @@ templates (position p of a text, t of a template: one vote for diagonal p - t) a
 template and diagonal. The template table is a parameter of at most TEMPLATE_GRAMS rows and is broadcast.
 
 * Phrases: all m - k + 1 k-grams on one diagonal are, by 64-bit hashes, the phrase's words in a row.
-* Longer templates: diagonals of one template that are at most GAP apart (words added or dropped) merge;
-  a span is verified by the share of the template's k-grams that its merged diagonals cover within a stretch
-  of 1.25 template lengths. From ``cover`` on the template's label holds; the best share is the score.
+* Longer templates: diagonals of one template that are at most GAP apart (words added or dropped) merge, those
+  with one vote like the others; a span is verified by the share of the template's k-grams that its merged
+  diagonals cover within a stretch of 1.25 template lengths, which may start at any diagonal. From ``cover`` on
+  the template's label holds (of overlapping stretches the best); the best share is the score.
 
 Votes are added up map-side, and a group is one diagonal of one text, so frequent words, texts and templates
 make no hot group; the last step has one row per text with a hit and one header row per text.
@@ -113,19 +114,28 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, k: int =
     number = F.col("template")
     of = lambda values: F.element_at(F.array(*map(F.lit, values)), number + 1)
     votes = license_votes(docs, phrases, templates, k, id_col, text_col)
-    hits = votes.where("template = -1 or votes > 1 or template < %d" % len(phrases))
-    # neighbouring diagonals of one template in one text: a new group starts after a gap
-    same = Window.partitionBy("key", "template").orderBy("diagonal")
-    step = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(same) > GAP).cast("int"), F.lit(1))
     phrase = number.between(0, len(phrases) - 1)
-    grouped = (hits.withColumn("group", F.sum(F.when(phrase, F.lit(1)).otherwise(step)).over(same))
-               .groupBy("key", "template", "group")
-               .agg(F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"), F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("covered"),
-                    F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words")))
     whole = F.when(number >= 0, of(length))
+    # neighbouring diagonals of one template in one text: a new chain starts after a gap
+    same = Window.partitionBy("key", "template").orderBy("diagonal")
+    step = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(same) > GAP).cast("int"), F.lit(1))
+    chains = votes.withColumn("chain", F.sum(F.when(phrase, F.lit(1)).otherwise(step)).over(same))
+    # every diagonal starts a stretch, so a chain of chance votes neither widens nor hides the best one
+    ahead = Window.partitionBy("key", "template", "chain").orderBy("diagonal").rangeBetween(0, max(length, default=0) // 4)
+    near = F.filter(F.collect_list(F.struct("diagonal", "ts")).over(ahead), lambda x: x.diagonal - F.col("diagonal") <= whole / 4)
     share = F.col("covered") / (whole - (k - 1))
-    spans = (grouped.withColumn("share", share)
-             .withColumn("ok", (number >= 0) & F.when(phrase, F.col("share") == 1).otherwise((F.col("share") >= cover) & (F.col("hi") - F.col("lo") <= whole / 4))))
+    stretches = (chains.withColumn("near", near).withColumn("lo", F.col("diagonal"))
+                 .withColumn("hi", F.coalesce(F.array_max(F.col("near.diagonal")), F.col("lo")))
+                 .withColumn("covered", F.size(F.array_distinct(F.flatten(F.col("near.ts"))))).withColumn("share", share)
+                 .withColumn("ok", (number >= 0) & F.when(phrase, F.col("share") == 1).otherwise(F.col("share") >= cover)))
+    # of verified stretches that overlap, the one that covers most, and of those the last to start, is the span
+    found = Window.partitionBy("key", "template", "ok").orderBy("lo")
+    apart = F.coalesce((F.col("lo") > F.max("hi").over(found.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
+    spans = (stretches.withColumn("apart", apart)
+             .withColumn("group", F.when(F.col("ok"), F.sum(F.when(phrase, F.lit(1)).otherwise(F.col("apart"))).over(found)))
+             .groupBy("key", "template", "ok", "group")
+             .agg(F.max(F.struct("covered", "lo", "share")).alias("best"), F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"))
+             .select("key", "template", "ok", "best.lo", "best.share", "doc_id", "n_words"))
     place = F.when(F.col("ok"), F.struct(of(label).alias("label"), F.col("lo").cast("long").alias("first_word"), whole.cast("long").alias("words"), F.col("share").cast("double").alias("share")))
     base = F.col("ok") & phrase
     text = lambda when: F.array_join(F.array_sort(F.collect_set(F.when(when, of(label)))), ",")
