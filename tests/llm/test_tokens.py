@@ -109,6 +109,13 @@ def test_packing_equals_the_library_and_fills_sequences(spark):
     assert best_fit_packing(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_packing_of_decomposed_and_mixed_texts_equals_the_library(spark):
+    texts = ["J\u030c", "T\u0308", "H\u0331", "Y\u030a", "W\u030a", "A T\u0308o. J\u030cAN, End. x", "PLAIN Text, End.", "\u00c9T\u00c9 THE End. A\u0301 I\u0307"]
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    out = best_fit_packing(frame(spark, list(enumerate(texts))), with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in out} == {i: [*tok.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
 def test_tree_rounds_merge_underfull_bins_and_stop(spark):
     rng = np.random.default_rng(4)
     for sizes in (rng.integers(1, 60, 3000), rng.integers(51, 100, 500), np.full(40, 100), np.array([], int)):

@@ -59,8 +59,10 @@ class Words:
         self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def parts_of(self, text: bytes) -> np.ndarray:
-        # the tokenizer lower-cases, and a letter or digit always ends a token before a full stop or comma
-        if b"<|" not in text:
+        # the tokenizer composes, then lower-cases: only without other characters may lower-casing go first (a
+        # capital and a mark can stay two characters where the small letter and the mark compose). A letter or
+        # digit always ends a token before a full stop or comma
+        if text.isascii() and b"<|" not in text:
             text = _STOP.sub(rb"\1 \2", text.lower())
         return np.array(list(map(self.number.__getitem__, text.split())), np.int64)
 
