@@ -122,3 +122,25 @@ def test_held_out_accuracy_and_edges(spark):
     assert rest[top + 1] == rest[top + 2] == rest[top + 3] == 0
     assert tox.toxicity(docs.limit(0), labels).count() == 0
     assert {r.score for r in tox.toxicity(docs.limit(5), labels.limit(0)).collect()} == {0.0}
+
+
+def phrased(n, insults, seed=5):
+    """Texts of random words, every second one toxic with its insult in one fixed phrase."""
+    import random
+    rng, vocabulary = random.Random(seed), ["".join(random.Random(i).choices("aeilnorstum", k=7)) for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = rng.choices(vocabulary, k=20)
+        at = rng.randrange(20)
+        rows.append((i, " ".join(words[:at] + (["you are an", rng.choice(insults)] if i % 2 else ["you are an author"]) + words[at:]), i % 2))
+    return rows
+
+
+def test_an_insult_in_one_phrase_is_evidence_and_few_texts_still_give_a_model(spark):
+    for rows in (phrased(300, ["idiot"]), phrased(6, ["idiot", "moron"])):
+        df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        out = {r.doc_id: r for r in tox.toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic")).collect()}
+        bad, good = ([out[i].score for i, _, y in rows if y == t and (len(rows) > 6 or not out[i].held_out)] for t in (1, 0))
+        assert min(bad) > max(good) and max(good) < 0.5, (bad, good)
+        assert len(rows) == 6 or min(bad) > 0.5
+    assert tox.sketch("a b c d".split()) == tox.sketch("a b c d".split()) and isinstance(tox.sketch([]), int)

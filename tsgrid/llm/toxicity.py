@@ -10,8 +10,10 @@ than a shared word.
 Training (labelled sentences of a bounded, hash-ordered sample of SAMPLE labelled documents per class):
 
 1. Spark counts in how many toxic and clean sample texts each segment occurs, which gives its log-odds.
-2. Every toxic text gives its sentence's witness, the segment with the largest log-odds (in three toxic texts,
-   after three different words, so that copies of one text don't count as evidence); clean texts give their most frequent segments, a hash sample, and those most like the toxic landmarks (hard negatives).
+2. Every toxic text gives its sentence's witness, the segment with the largest log-odds (in three toxic texts
+   that differ, by the smallest hash of their word triples, so that copies of one text don't count as evidence; if
+   no segment is, each toxic text gives its best one); clean texts give their most frequent segments, a hash sample,
+   and those most like the toxic landmarks (hard negatives).
 3. Landmarks: a k-centre choice of witnesses and of frequent clean segments, and the hardest negatives. Nyström features K(x, Z) K(Z, Z)^(-1/2) go to a linear support
    vector machine with squared hinge loss (at most SAMPLE + 2 HARD + HARD / 2 segments, on the driver).
 4. The margin of a sentence is its best segment's, of a text its best sentence's; a logistic curve fitted to the
@@ -23,12 +25,13 @@ a score.
 
 Defined results: null or empty text: the margin of an empty segment. Null id: scored, not held out. Repeated
 ids: one result per row; repeated labels: toxic if any row says so. Null labels are left out. Without both
-classes among the labels every score is 0. Extra columns are not read. An empty table gives an empty result.
+classes among the sample's texts (those with a segment of three characters) every score is 0. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -166,24 +169,24 @@ def text_margins(column: pa.Array, table: tuple, to: np.ndarray, bias: float) ->
     return best
 
 
+def sketch(words: list[str]) -> int:
+    """The smallest hash of three words in a row: copies and most near copies of a text share it."""
+    return min((zlib.crc32(" ".join(words[i:i + 3]).encode()) for i in range(max(1, len(words) - 2))))
+
+
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's distinct segments with the word before the first occurrence."""
+    """Each text's distinct segments with the text's sketch."""
     for batch in batches:
-        docs, out, before = [], [], []
+        docs, out, sketches = [], [], []
         for k, text in enumerate(batch.column("text").to_pylist()):
-            found: dict[str, str] = {}
-            last = ""
-            for w in tokens_of(text or ""):
-                for s in windows(w):
-                    if len(s) > 2:
-                        found.setdefault(s, last)
-                last = w
+            words = tokens_of(text or "")
+            found = dict.fromkeys(s for w in words for s in windows(w) if len(s) > 2)
             docs += [k] * len(found)
             out += found
-            before += found.values()
+            sketches += [sketch(words)] * len(found)
         take = pa.array(docs, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("toxic").take(take), pa.array(out, pa.string()), pa.array(before, pa.string())],
-                                         ["doc_id", "toxic", "segment", "before"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("toxic").take(take), pa.array(out, pa.string()), pa.array(sketches, pa.int64())],
+                                         ["doc_id", "toxic", "segment", "sketch"])
 
 
 def k_centres(segments: list[str], k: int) -> list[str]:
@@ -200,21 +203,23 @@ def k_centres(segments: list[str], k: int) -> list[str]:
 def fit(sample: DataFrame) -> tuple[tuple, np.ndarray, float, float, float] | None:
     """(landmark table, coefficient per landmark, bias, slope, offset) from (doc_id, text, toxic) rows; None without both classes."""
     spark = sample.sparkSession
-    found = materialize(sample.mapInArrow(_segments, "doc_id long, toxic int, segment string, before string"), "toxic-segments")
+    found = materialize(sample.mapInArrow(_segments, "doc_id long, toxic int, segment string, sketch long"), "toxic-segments")
     texts = {r.toxic: r.n for r in found.select("doc_id", "toxic").distinct().groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(texts) < 2:
         return None
     p, q = F.col("p"), F.col("q")
     odds = F.log((p + 0.5) / (texts[1] - p + 0.5)) - F.log((q + 0.5) / (texts[0] - q + 0.5))
     counts = materialize(found.groupBy("segment").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("q"),
-                                                          F.count_distinct(F.when(F.col("toxic") == 1, F.col("before"))).alias("places"))
+                                                          F.count_distinct(F.when(F.col("toxic") == 1, F.col("sketch"))).alias("differing"))
                          .withColumn("odds", odds), "toxic-counts")
+
     # a toxic text's witness; the rows that reach the driver are bounded by the sample's texts and by HARD
-    witness = (found.where("toxic = 1").join(counts.where("p > 2 and places > 2 and odds > 2"), "segment").groupBy("doc_id")
-               .agg(F.max(F.struct("odds", "segment")).alias("top")).groupBy("top.segment").agg(F.count(F.lit(1)).alias("w")))
-    good = [(r.segment, r.w) for r in witness.orderBy(F.desc("w"), "segment").collect()]
-    if not good:
-        return None
+    def witnesses(evident: DataFrame) -> list[tuple[str, int]]:
+        best = (found.where("toxic = 1").join(evident, "segment").groupBy("doc_id")
+                .agg(F.max(F.struct("odds", "segment")).alias("top")).groupBy("top.segment").agg(F.count(F.lit(1)).alias("w")))
+        return [(r.segment, r.w) for r in best.orderBy(F.desc("w"), "segment").collect()]
+
+    good = witnesses(counts.where("p > 2 and differing > 2 and odds > 2")) or witnesses(counts)
     clean = counts.where("q > p")
     common = [r.segment for r in clean.orderBy(F.desc("q"), "segment").limit(HARD // 2).collect()]
     drawn = [r.segment for r in clean.orderBy(F.xxhash64("segment"), "segment").limit(HARD).collect()]
