@@ -17,33 +17,45 @@ from tsgrid.llm.secret_scan import redact
 from tsgrid.llm.toxicity import toxicity
 
 
-def _drop(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
-    """The documents without the rejected ids (doc_id), which are broadcast only if their count allows."""
-    ids = materialize(rejected.select("doc_id").distinct(), f"rejected-{name}")
-    return docs.where("doc_id is not null").join(small_broadcast(ids, ids.count()), "doc_id", "left_anti").select(*docs.columns)
+#: The column of row keys within a stage; it is dropped before the stage's output.
+ROW = "__row"
+
+
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with a key of their own for every row, written once so that it holds in all later reads."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), f"rows-{name}")
+
+
+def _drop(rows: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    """The documents without the rejected row keys (doc_id), which are broadcast only if their count allows."""
+    keys = materialize(rejected.select(F.col("doc_id").alias(ROW)), f"rejected-{name}")
+    return rows.join(small_broadcast(keys, keys.count()), ROW, "left_anti").drop(ROW)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. An id is one document: it goes if any of its rows fails; rows
-    without an id go, as later stages can't tell them apart."""
-    return _drop(docs, quality_rules(docs).where(~F.col("kept")), "quality")
+    """Documents that the quality rules keep, each row judged by itself."""
+    rows = _keyed(docs, "quality")
+    return _drop(rows, quality_rules(rows, id_col=ROW).where(~F.col("kept")), "quality")
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic; the labelled texts are those among this stage's documents."""
-    return _drop(docs, toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"), "toxicity")
+    """Documents that are not toxic, each row judged by itself; the labelled texts are those among this stage's
+    documents, by doc_id."""
+    rows = _keyed(docs, "toxicity")
+    labelled = rows.select(F.col("doc_id").alias(ROW), "text")
+    return _drop(rows, toxicity(rows, table(spark, sf_dir, "labels"), id_col=ROW, train_docs=labelled).where("predicted = 1"), "toxicity")
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id (of repeated ids one row)."""
-    groups = ngram_jaccard_components(docs)
-    kept = _drop(docs, groups.where("doc_id <> component_id"), "copies")
-    twice = materialize(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    n = twice.count()
-    if not n:
-        return kept
-    first = kept.join(small_broadcast(twice, n), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return _drop(kept, twice, "repeated").unionByName(first)
+    """One row of each group of near-duplicates: the one with the smallest id (rows without an id come last, and of
+    equal ids the first row counts)."""
+    rows = _keyed(docs, "copies")
+    groups = materialize(ngram_jaccard_components(rows, id_col=ROW), "groups")
+    several = materialize(groups.groupBy("component_id").count().where("count > 1").select("component_id"), "several")
+    members = groups.select(F.col("doc_id").alias(ROW), "component_id").join(small_broadcast(several, several.count()), "component_id", "left_semi")
+    members = materialize(members.join(rows.select(ROW, "doc_id"), ROW).select(ROW, "component_id", F.struct(F.col("doc_id").isNull(), "doc_id", ROW).alias("rank")), "members")
+    first = members.groupBy("component_id").agg(F.min("rank").alias("best")).select(F.col(f"best.{ROW}").alias(ROW))
+    return _drop(rows, members.join(first, ROW, "left_anti").select(F.col(ROW).alias("doc_id")), "copies")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,6 +71,32 @@ def test_pipeline_with_nulls_and_empty_tables(spark, tmp_path):
     assert c.run(spark, empty).count() == 0
 
 
+def test_rows_are_judged_one_by_one(spark):
+    import corpus_pipeline as c
+    from tsgrid.llm.quality_rules import quality_rules
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    good = ids(quality_rules(docs).where("kept"))
+    a, b, x, y = [r for r in docs.orderBy("doc_id").collect() if r.doc_id in good and r.n_chars > 600][:4]
+    row = lambda r, i, text=None: r.asDict() | {"doc_id": i, "text": r.text if text is None else text}
+    # no id; an id shared by a bad row; an id shared by two quite different texts; a copy without an id
+    extra = [row(a, None, a.text[::-1].replace("\n", " ")), row(b, b.doc_id, "bad"), row(x, 10**7), row(y, 10**7), row(x, None)]
+    every = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    kept = c.quality(spark, every, SF01)
+    verdict = quality_rules(every.withColumn("n", F.lit(1)))
+    assert kept.count() == verdict.where("kept").count() and kept.where(F.col("text") == b.text).count() >= 1
+    assert kept.where("doc_id is null").count() == verdict.where("kept and doc_id is null").count() > 0
+    few = spark.createDataFrame([row(x, 5), row(y, 5), row(y, 4), row(x, None), row(a, None), row(a, None)], docs.schema).repartition(3)
+    out = sorted(((r.doc_id, r.text) for r in c.unique(spark, few, SF01).collect()), key=str)
+    assert out == sorted([(5, x.text), (4, y.text), (None, a.text)], key=str)
+    toxic = ids(spark.read.parquet(f"{SF01}/labels.parquet").where("toxic = 1"))
+    t = docs.where(F.col("doc_id").isin(*toxic)).collect()
+    calm = c.clean(spark, docs, SF01)
+    gone = next(r for r in t if calm.where(F.col("text") == r.text).count() == 0)
+    mixed = c.clean(spark, docs.unionByName(spark.createDataFrame([row(gone, 10**8), row(a, 10**8), row(a, None)], docs.schema)), SF01)
+    assert mixed.where("doc_id = 100000000").select("text").collect() == [(a.text,)]
+    assert mixed.where("doc_id is null").count() == 1
+
+
 def test_entry_registers_every_query():
     import __spark_entry__ as e
     names = e.queries()
