@@ -143,4 +143,8 @@ def test_an_insult_in_one_phrase_is_evidence_and_few_texts_still_give_a_model(sp
         bad, good = ([out[i].score for i, _, y in rows if y == t and (len(rows) > 6 or not out[i].held_out)] for t in (1, 0))
         assert min(bad) > max(good) and max(good) < 0.5, (bad, good)
         assert len(rows) == 6 or min(bad) > 0.5
+    # words that clean texts hold as often are no evidence: no clean text may be judged by them
+    mixed = [(i, " ".join(sorted(t.split(), reverse=bool(y))), y) for i, t, y in phrased(200, ["author"])]
+    df = spark.createDataFrame(mixed, "doc_id long, text string, toxic int")
+    assert tox.toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic")).where("predicted = 1").count() == 0
     assert tox.sketch("a b c d".split()) == tox.sketch("a b c d".split()) and isinstance(tox.sketch([]), int)

@@ -12,7 +12,7 @@ Training (labelled sentences of a bounded, hash-ordered sample of SAMPLE labelle
 1. Spark counts in how many toxic and clean sample texts each segment occurs, which gives its log-odds.
 2. Every toxic text gives its sentence's witness, the segment with the largest log-odds (in three toxic texts
    that differ, by the smallest hash of their word triples, so that copies of one text don't count as evidence; if
-   no segment is, each toxic text gives its best one); clean texts give their most frequent segments, a hash sample,
+   no segment is, each toxic text gives its best one of those that no clean text holds); clean texts give their most frequent segments, a hash sample,
    and those most like the toxic landmarks (hard negatives).
 3. Landmarks: a k-centre choice of witnesses and of frequent clean segments, and the hardest negatives. Nyström features K(x, Z) K(Z, Z)^(-1/2) go to a linear support
    vector machine with squared hinge loss (at most SAMPLE + 2 HARD + HARD / 2 segments, on the driver).
@@ -25,7 +25,7 @@ a score.
 
 Defined results: null or empty text: the margin of an empty segment. Null id: scored, not held out. Repeated
 ids: one result per row; repeated labels: toxic if any row says so. Null labels are left out. Without both
-classes among the sample's texts (those with a segment of three characters) every score is 0. Extra columns are not read. An empty table gives an empty result.
+classes among the sample's texts (those with a segment of three characters), or if clean texts hold all segments of the toxic ones, every score is 0. Extra columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -219,7 +219,9 @@ def fit(sample: DataFrame) -> tuple[tuple, np.ndarray, float, float, float] | No
                 .agg(F.max(F.struct("odds", "segment")).alias("top")).groupBy("top.segment").agg(F.count(F.lit(1)).alias("w")))
         return [(r.segment, r.w) for r in best.orderBy(F.desc("w"), "segment").collect()]
 
-    good = witnesses(counts.where("p > 2 and differing > 2 and odds > 2")) or witnesses(counts)
+    good = witnesses(counts.where("p > 2 and differing > 2 and odds > 2")) or witnesses(counts.where("q = 0"))
+    if not good:
+        return None
     clean = counts.where("q > p")
     common = [r.segment for r in clean.orderBy(F.desc("q"), "segment").limit(HARD // 2).collect()]
     drawn = [r.segment for r in clean.orderBy(F.xxhash64("segment"), "segment").limit(HARD).collect()]
