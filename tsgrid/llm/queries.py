@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import filter_audit as audit
 from . import quality_rules as quality
 from . import secret_scan as secrets
 from . import warc_revisits as warc
@@ -12,6 +13,8 @@ from .best_fit_packing import best_fit_packing
 from .byte_bpe import byte_bpe
 from .common import table
 from .embedding_near_dup import embedding_near_dups
+from .ffd_packing import ffd_packing
+from .importance_resampling import importance_resampling
 from .license_scan import license_scan
 from .ngram_jaccard_join import ngram_jaccard_components
 from .token_counts import token_counts
@@ -70,11 +73,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over all documents: sequences of at most 1024 tokens."""
+    return ffd_packing(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all documents and labels, per source."""
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over all documents, towards the benchmark texts."""
+    return importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_secret_scan, op4_byte_bpe, op5_toxicity, op6_best_fit_packing,
-    op7_warc_revisits, op8_license_scan, op9_embedding_near_dup, op10_quality_rules)}
+    op7_warc_revisits, op8_license_scan, op9_embedding_near_dup, op10_quality_rules, op11_ffd_packing,
+    op12_filter_audit, op13_importance_resampling)}
 ORACLE: dict[str, str] = {
     "op3_secret_scan": secrets.oracle_sql(),
     "op7_warc_revisits": warc.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
+    "op12_filter_audit": audit.ORACLE_SQL,
 }
