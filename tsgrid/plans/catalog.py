@@ -771,16 +771,60 @@ def q_a16_events(spark, sf):
     return agg.timing_summary(ev.select(F.col("event_type").alias("model"), F.col("value").alias("train_s"), (F.col("value") / 1000).alias("infer_s")))
 
 
+_FILLED_SQL = ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf")])
+
+
+@register("m3_css_forecast_hourly", "WITH RECURSIVE " + _FILLED_SQL + """,
+u AS (SELECT event_type, ts, pos, y, y - lag(y) OVER k - 0.1 AS u1, y - 2.0 - 0.3 * lag(y) OVER k AS u2 FROM hf
+      WINDOW k AS (PARTITION BY event_type ORDER BY pos)),
+e AS (SELECT event_type, pos, u1 AS e1, u2 AS e2 FROM u WHERE pos = 1
+      UNION ALL
+      SELECT u.event_type, u.pos, u1 + 0.6 * e1, u2 - 0.2 * e2 FROM e JOIN u ON u.event_type = e.event_type AND u.pos = e.pos + 1),
+p AS (SELECT u.event_type, ts, y, y - e1 AS p1, y - e2 AS p2 FROM u JOIN e USING (event_type, pos) WHERE ts >= TIMESTAMP '2024-01-24')
+SELECT event_type, ts, 'ARIMA(0,1,1)' AS model, round(y, 6) AS y, round(p1, 6) AS yhat FROM p
+UNION ALL SELECT event_type, ts, 'ARIMA(1,0,1)', round(y, 6), round(p2, 6) FROM p""")
+def q_m3_css(spark, sf):
+    """One-step forecasts with given parameters by the exact residual recursion on blocks."""
+    from ..operators.css import forecast_css
+    f = hourly_filled(spark, sf)
+    keys = f.select("event_type").distinct()
+    given = lambda *b: keys.withColumn("beta", F.array(*[F.lit(float(v)) for v in b]))
+    return (forecast_css(f, HOURLY, given(0.1, -0.6), (0, 1, 1), (0, 0, 0), model="ARIMA(0,1,1)")
+            .unionByName(forecast_css(f, HOURLY, given(2.0, 0.3, 0.2), (1, 0, 1), (0, 0, 0), model="ARIMA(1,0,1)"))
+            .select("event_type", "ts", "model", r("y"), r("yhat")))
+
+
+# the sum of squares of every theta on a grid of 0.01, then of 0.0002 around the best one
+_MA1_GRID_SQL = "WITH RECURSIVE " + _FILLED_SQL + """,
+w AS (SELECT event_type, pos, y - lag(y) OVER (PARTITION BY event_type ORDER BY pos) AS w FROM hf WHERE ts < TIMESTAMP '2024-01-24'),
+c1 AS (SELECT event_type, pos, w AS e, theta, w * w AS sse, 1 AS n FROM w, (SELECT unnest(range(-98, 99)) / 100.0 AS theta) WHERE pos = 1
+       UNION ALL
+       SELECT w.event_type, w.pos, w - theta * e, theta, sse + (w - theta * e) ^ 2, n + 1 FROM c1 JOIN w ON w.event_type = c1.event_type AND w.pos = c1.pos + 1),
+b1 AS (SELECT event_type, arg_min(theta, sse) AS best FROM c1 WHERE (event_type, pos) IN (SELECT event_type, max(pos) FROM w GROUP BY 1) GROUP BY 1),
+c2 AS (SELECT w.event_type, pos, w AS e, best + step / 5000.0 AS theta, w * w AS sse, 1 AS n FROM w JOIN b1 USING (event_type), (SELECT unnest(range(-60, 61)) AS step) WHERE pos = 1
+       UNION ALL
+       SELECT w.event_type, w.pos, w - theta * e, theta, sse + (w - theta * e) ^ 2, n + 1 FROM c2 JOIN w ON w.event_type = c2.event_type AND w.pos = c2.pos + 1),
+l AS (SELECT * FROM c2 WHERE (event_type, pos) IN (SELECT event_type, max(pos) FROM w GROUP BY 1))"""
+
+
+@register("m1_css_ma_fit_hourly", _MA1_GRID_SQL + """
+SELECT event_type, round(arg_min(theta, sse), 2) AS theta, round(sqrt(min(sse) / max(n)), 3) AS sigma, CAST(max(n) AS BIGINT) AS nobs FROM l GROUP BY 1""")
+def q_m1_css(spark, sf):
+    """ARIMA(0,1,1) without a constant by conditional sum of squares; the oracle searches a grid."""
+    from ..operators.css import fit_css
+    p = fit_css(hourly_filled(spark, sf), HOURLY, (0, 1, 1), (0, 0, 0), const=False)
+    return p.select("event_type", F.round(F.col("beta")[0], 2).alias("theta"), F.round(F.sqrt("sigma2"), 3).alias("sigma"), "nobs")
+
+
 @register("m1_m3_sarima_metrics_hourly")
 def q_m13(spark, sf):
-    """SARIMA(1,1,1)(1,1,1,24) least-squares fit on train, one-step forecasts on test, metrics
-    next to the two baselines (no SQL oracle: long-AR innovations + per-key solves;
-    parameter recovery and causality are checked in tests/test_arima.py)."""
-    from ..operators.arima import forecast_arima
-    f = hourly_filled(spark, sf)
-    preds, _ = forecast_arima(f, HOURLY, (1, 1, 1), (1, 1, 1))
-    allp = preds.unionByName(baselines(f, HOURLY))
-    return evaluate(allp, by=["event_type", "model"])
+    """SARIMA(1,1,1)(1,1,1,24) by conditional sum of squares on train, one-step forecasts on test, metrics next to the
+    two baselines (no SQL oracle: the fit's steps; tests/test_css.py compares it with brute force)."""
+    from ..operators.css import fit_css, forecast_css
+    from ..session import cut_lineage
+    f = cut_lineage(hourly_filled(spark, sf), "filled")
+    preds = forecast_css(f, HOURLY, fit_css(f, HOURLY, (1, 1, 1), (1, 1, 1)), (1, 1, 1), (1, 1, 1))
+    return evaluate(preds.unionByName(baselines(f, HOURLY)), by=["event_type", "model"])
 
 
 #: An autoregressive sub-space whose fits have a closed form: p, d and D in 0..1.
