@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.blocks import BLK, OWN, POS, ensure_positions, with_halo
+from ..plans.blocks import BLK, array_blocks, ensure_positions
 from ..spec import SeriesSpec
 from .arima import MODEL, fit_arima, lag_sets
 from .windows import diff_coefficients, difference
@@ -145,20 +145,9 @@ def block_rows(df: DataFrame, spec: SeriesSpec, order, seasonal, split_col: str
     if train_only:
         df = df.where(F.col(split_col) == "train")
     x = difference(ensure_positions(df.where(F.col(split_col).isNotNull()), spec), spec, order[1], seasonal[1], s, out="_w")
-    fields = [F.col(POS).alias("p"), F.col(OWN).alias("own"), F.coalesce(F.col("_w").cast("double"), F.lit(float("nan"))).alias("w")]
-    if not train_only:
-        fields += [F.col(spec.value).cast("double").alias("y"), F.unix_micros(F.col(spec.time).cast("timestamp")).alias("us"),
-                   (F.col(split_col) == "test").alias("test")]
-    rows = with_halo(x, spec, before=max(ar, default=0)) if ar else with_halo(x, spec)
-    out = rows.groupBy(*spec.keys, BLK).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_c")).where(F.exists("_c", lambda r: r["own"]))
-    of = lambda f: F.transform("_c", lambda r: r[f])
-    own = lambda f: F.transform(F.filter("_c", lambda r: r["own"]), lambda r: r[f])
-    first, last = F.get("_c", F.lit(0))["p"], F.element_at("_c", -1)["p"]
-    gap = F.when(last - first + 1 != F.size("_c"), F.raise_error(F.lit("the series has gaps: fill it first (fill_missing)")))
-    cols = [F.coalesce(gap.cast("long"), first).alias("p0"), F.size(F.filter("_c", lambda r: ~r["own"])).alias("halo"), of("w").alias("w")]
-    if not train_only:
-        cols += [own("y").alias("y"), own("us").alias("us"), own("test").alias("test")]
-    return out.select(*spec.keys, BLK, *cols)
+    fields = {} if train_only else {"y": F.col(spec.value).cast("double"), "us": F.unix_micros(F.col(spec.time).cast("timestamp")),
+                                    "test": F.col(split_col) == "test"}
+    return array_blocks(x, spec, max(ar, default=0), "_w", fields)
 
 
 def _first_row(order, seasonal, s: int) -> int:

@@ -163,6 +163,24 @@ def carry(df: DataFrame, spec: SeriesSpec, item: Column,
     return out.drop(*drop)
 
 
+def array_blocks(df: DataFrame, spec: SeriesSpec, before: int, value: str, own_fields: dict | None = None) -> DataFrame:
+    """One row per (key, block): ``p0`` (position of the first value), ``halo`` (values before the block's own), ``w``
+    (the values, NaN for null), and one array of the block's own rows per entry of ``own_fields`` (name: column).
+    Positions must be contiguous; a gap raises. An array holds a block and its halo, however long the series."""
+    fields = [F.col(POS).alias("p"), F.col(OWN).alias("own"), F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("w"),
+              *[c.alias(f"f_{n}") for n, c in (own_fields or {}).items()]]
+    out = (with_halo(df, spec, before=before).groupBy(*spec.keys, BLK).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_c"))
+           .where(F.exists("_c", lambda r: r["own"])))
+    first, last = F.get("_c", F.lit(0))["p"], F.element_at("_c", -1)["p"]
+    gap = F.when(last - first + 1 != F.size("_c"), F.raise_error(F.lit("the series has gaps: fill it first (fill_missing)")))
+
+    def own_array(name):
+        return F.transform(F.filter("_c", lambda r: r["own"]), lambda r: r[f"f_{name}"]).alias(name)
+
+    return out.select(*spec.keys, BLK, F.coalesce(gap.cast("long"), first).alias("p0"), F.size(F.filter("_c", lambda r: ~r["own"])).alias("halo"),
+                      F.transform("_c", lambda r: r["w"]).alias("w"), *map(own_array, own_fields or {}))
+
+
 def value_ranks(df: DataFrame, group, order_col: str, tie_cols=(), rank_col: str = "rank", n_col: str = "_n") -> DataFrame:
     """Exact 1-based rank of each row within ``group`` ordered by (order_col, tie_cols),
     without sorting a whole group, or all rows of one value, in one task.
