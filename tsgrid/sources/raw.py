@@ -77,5 +77,6 @@ def day_of_file(path: Column) -> Column:
 
 
 def file_id(path: Column) -> Column:
-    """A short name of a source file, used as the store's shard name."""
-    return F.substring(F.md5(path), 1, 16)
+    """A short name of a source file, used as the store's shard name: of its day and its own name, so that a folder
+    that is moved, or mounted elsewhere, holds the same files. ``manifest.list_raw`` gives the same on the driver."""
+    return F.substring(F.md5(F.concat(day_of_file(path), F.lit("/"), F.regexp_extract(path, r"([^/]+)$", 1))), 1, 16)

@@ -1,8 +1,8 @@
 """The aggregated Parquet store, one shard per source file.
 
 Layout: ``<store>/day=YYYY-MM-DD/src=<file id>/part-*.parquet`` with columns square_id INT,
-time_interval BIGINT (epoch ms), internet_traffic FLOAT. A shard is written and replaced as a
-whole, so a second file of a day, early or late, adds a shard and replaces nothing.
+time_interval BIGINT (epoch ms), internet_traffic FLOAT, and raw_rows INT, the number of raw rows of
+the cell, from which reports count without the raw files. A shard is written and replaced as a whole, so a second file of a day, early or late, adds a shard and replaces nothing.
 Inside a shard, files hold contiguous square_id ranges sorted by (square_id, time_interval),
 so an id filter skips row groups by their min/max statistics.
 """
@@ -51,9 +51,10 @@ def aggregate_raw(raw: DataFrame) -> DataFrame:
     a file id (frames that were not read from files) form one shard per day."""
     raw = raw if "src" in raw.columns else raw.withColumn("src", F.lit("all"))
     return (raw.groupBy("day", "src", "square_id", "time_interval")
-               .agg(F.sum(F.col("internet_traffic").cast("double")).cast("float").alias("internet_traffic"))
+               .agg(F.sum(F.col("internet_traffic").cast("double")).cast("float").alias("internet_traffic"),
+                    F.count(F.lit(1)).cast("int").alias("raw_rows"))
                .select(F.col("square_id").cast("int").alias("square_id"), "time_interval",
-                       "internet_traffic", "day", "src"))
+                       "internet_traffic", "raw_rows", "day", "src"))
 
 
 def write_store(agg: DataFrame, store: str) -> None:
