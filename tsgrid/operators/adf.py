@@ -59,6 +59,23 @@ def default_maxlag(n: int) -> int:
     return int(min(n // 2 - 2, math.ceil(12.0 * (n / 100.0) ** 0.25)))
 
 
+def nested_ssr(G: np.ndarray, n: int, target: int) -> list:
+    """SSR of the regressions on the first 1, 2, .. n columns of a Gram matrix, all from one factorisation: row i of
+    L^-1 X'y is what column i adds. Columns that are (nearly) dependent are left to a pseudo-inverse per order."""
+    A, rhs, whole = G[:n, :n], G[:n, target], float(G[target, target])
+    size = np.sqrt(np.maximum(np.diag(A), 1e-300))
+    try:
+        L = np.linalg.cholesky(A / np.outer(size, size))
+        if np.diag(L).min() < 1e-6:
+            raise np.linalg.LinAlgError
+    except np.linalg.LinAlgError:
+        return [solve(G, range(i + 1), target)[1] for i in range(n)]
+    z = np.zeros(n)
+    for i in range(n):  # forward substitution
+        z[i] = (rhs[i] / size[i] - L[i, :i] @ z[:i]) / L[i, i]
+    return np.maximum(whole - np.cumsum(z * z), 0.0).tolist()
+
+
 def adf(df: DataFrame, spec: SeriesSpec, maxlag: int | None = None, autolag: bool = True) -> DataFrame:
     """(key..., adf_stat, pvalue, used_lag, nobs, crit_1, crit_5, crit_10, ic_best, stationary).
 
@@ -119,8 +136,7 @@ def adf(df: DataFrame, spec: SeriesSpec, maxlag: int | None = None, autolag: boo
             ic = None
             if search_lags:
                 best = None
-                for L in range(0, mk_ + 1):
-                    _, ssr, _ = solve(G, [0, 1, *range(2, 2 + L)], k - 1)
+                for L, ssr in enumerate(nested_ssr(G, mk_ + 2, k - 1)[1:]):
                     aic = n_search * math.log(ssr / n_search) + 2 * (L + 2) if ssr > 0 else -math.inf
                     if best is None or aic < best[0]:
                         best = (aic, L)

@@ -333,6 +333,17 @@ def q_p14(spark, sf):
     return target_areas(t, "square_id", "total_internet_traffic")
 
 
+@register("p14_target_areas_extra_raw", _TOT_SQL + """,
+top AS (SELECT square_id FROM t ORDER BY total_internet_traffic DESC, square_id LIMIT 1)
+SELECT square_id, 'Area_' || CAST(square_id AS VARCHAR) || '_TopTraffic' AS label FROM top
+UNION ALL
+SELECT square_id, 'Area_' || CAST(square_id AS VARCHAR) FROM (SELECT unnest([5, 9, 4159]::INTEGER[]) AS square_id) WHERE square_id NOT IN (SELECT square_id FROM top)""")
+def q_p14_extra(spark, sf):
+    """The top area and three named ones; a named one that is the top one keeps the top label."""
+    t = agg.totals(raw_collapsed(spark, sf), "square_id", "internet_traffic")
+    return target_areas(t, "square_id", "total_internet_traffic", extra_ids=(5, 9, 4159))
+
+
 @register("p4_j1_target_series_raw", _TOT_SQL + """,
 top AS (SELECT square_id FROM t ORDER BY total_internet_traffic DESC, square_id LIMIT 1)
 SELECT c.square_id, make_timestamp(c.time_interval * 1000) AS datetime, v AS internet_traffic,
@@ -536,6 +547,23 @@ def q_w12(spark, sf):
     return z.select("event_type", "ts", "y", r("z"), "is_outlier")
 
 
+@register("w12_test_window_outliers_hourly", "WITH " + S.HOURLY_SRC + """,
+z AS (SELECT *, coalesce(abs((y - avg(y) OVER (PARTITION BY event_type)) / stddev_samp(y) OVER (PARTITION BY event_type)) > 3, false) AS o FROM hr)
+SELECT event_type, CASE WHEN ts < TIMESTAMP '2024-01-24' THEN 'train' ELSE 'test' END AS split, count(*) FILTER (o) AS n_outliers, count(*) AS n FROM z GROUP BY 1, 2""")
+def q_w12_test(spark, sf):
+    """Outliers of the whole series, counted inside the test window and before it."""
+    z = split_by_time(zscore_outliers(hourly(spark, sf), HOURLY, 3.0), HOURLY, HOURLY_SPLIT)
+    return z.groupBy("event_type", "split").agg(F.sum(F.col("is_outlier").cast("long")).alias("n_outliers"), F.count(F.lit(1)).alias("n"))
+
+
+@register("p9_null_drop_hourly", "WITH " + S.HOURLY_SRC + "\nSELECT event_type, count(*) AS n, round(avg(y), 6) AS mean, round(stddev_samp(y), 6) AS std FROM hr GROUP BY 1")
+def q_p9(spark, sf):
+    """Statistics of the regular grid after its empty rows are dropped."""
+    from ..operators.select import drop_null_values
+    d = drop_null_values(regularize(hourly(spark, sf), HOURLY), HOURLY)
+    return d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("y"), 6).alias("mean"), F.round(F.stddev_samp("y"), 6).alias("std"))
+
+
 @register("a17_outlier_rate_hourly", "WITH " + S.HOURLY_SRC + """,
 z AS (SELECT *, coalesce(abs((y - avg(y) OVER (PARTITION BY event_type)) / stddev_samp(y) OVER (PARTITION BY event_type)) > 3, false) AS o FROM hr)
 SELECT event_type, CAST(sum(CAST(o AS BIGINT)) AS BIGINT) AS n_outliers, count(*) AS n,
@@ -673,6 +701,39 @@ def q_s4(spark, sf):
     return store_report(both, store, build_store(both, store)).select("day", "raw_rows", "aggregated_rows", "skipped_files", "collapse_factor")
 
 
+def _two_runs(spark, sf):
+    """A store to which a second run of the manifest ingest added each day's late file: (store, report of that run)."""
+    from ..session import cut_lineage
+    from ..sources.manifest import incremental_totals, ingest_files
+    first, late = _raw_files(spark, sf)
+    store = first + "-manifest-store"
+    ingest_files(spark, first, store)
+    incremental_totals(spark, store)
+    return store, cut_lineage(ingest_files(spark, [first, late], store), "report")
+
+
+@register("s3_manifest_ingest_events", _FILES_SQL + "\nSELECT square_id, time_interval, internet_traffic, day FROM st")
+def q_s3_manifest(spark, sf):
+    """Two runs of the manifest ingest, the second over both folders, of which it reads the late files only."""
+    from ..sources.store import read_store
+    return read_store(spark, _two_runs(spark, sf)[0])
+
+
+@register("s4_shard_report_events", _FILES_SQL + """
+SELECT day, NOT late AS skipped, CASE WHEN late THEN sum(raw_rows) ELSE 0 END::BIGINT AS raw_rows, CASE WHEN late THEN count(*) ELSE 0 END AS aggregated_rows FROM st GROUP BY day, late""")
+def q_s4_shards(spark, sf):
+    """The report of the second run, one row per file: counts come with the written shards, seconds and MB vary."""
+    return _two_runs(spark, sf)[1].fillna(0).select("day", "skipped", "raw_rows", "aggregated_rows")
+
+
+@register("s8_incremental_totals_events", _FILES_SQL + """
+SELECT square_id, round(sum(CAST(internet_traffic AS DOUBLE)), 4) AS total_internet_traffic FROM st GROUP BY 1 HAVING sum(CAST(internet_traffic AS DOUBLE)) <> 0""")
+def q_s8_incremental(spark, sf):
+    """Totals kept per shard: taken after the first run, brought up to date after the second from its shards alone."""
+    from ..sources.manifest import incremental_totals
+    return incremental_totals(spark, _two_runs(spark, sf)[0]).select("square_id", r("total_internet_traffic", 4))
+
+
 # --------------------------------------------------------------------- stationarity
 
 @register("w11_adf_hourly")
@@ -702,6 +763,29 @@ def q_w11_0(spark, sf):
     return a.select("event_type", r("adf_stat"), "used_lag", "nobs", r("crit_1"), r("crit_5"), r("crit_10"))
 
 
+@register("w11_adf_lag_search_hourly", _HR_POS + """,
+d AS (SELECT event_type, pos, y, y - lag(y) OVER w AS dy, lag(y) OVER w AS yl FROM hp WINDOW w AS (PARTITION BY event_type ORDER BY pos)),
+e AS (SELECT *, lag(dy) OVER (PARTITION BY event_type ORDER BY pos) AS d1 FROM d),
+c AS (SELECT event_type, count(*) AS n, regr_sxx(dy, yl) AS s11, regr_sxx(dy, d1) AS s22, regr_sxy(d1, yl) AS s12, regr_sxy(dy, yl) AS s1y, regr_sxy(dy, d1) AS s2y, regr_syy(dy, yl) AS syy
+      FROM e WHERE pos >= 2 GROUP BY 1),
+f AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM c),
+q AS (SELECT *, syy - s1y * s1y / s11 AS ssr0, syy - b1 * s1y - b2 * s2y AS ssr1 FROM f),
+i AS (SELECT *, n * ln(ssr0 / n) + 4 AS aic0, n * ln(ssr1 / n) + 6 AS aic1 FROM q),
+z AS (SELECT event_type, regr_count(dy, yl) AS n0, regr_slope(dy, yl) / sqrt((regr_syy(dy, yl) - regr_sxy(dy, yl) ^ 2 / regr_sxx(dy, yl)) / (regr_count(dy, yl) - 2) / regr_sxx(dy, yl)) AS tau0
+      FROM e WHERE pos >= 1 GROUP BY 1),
+t AS (SELECT event_type, CASE WHEN aic1 < aic0 THEN 1 ELSE 0 END AS used_lag, CASE WHEN aic1 < aic0 THEN n ELSE n0 END AS nobs,
+        CASE WHEN aic1 < aic0 THEN b1 / sqrt(ssr1 / (n - 3) * s22 / det) ELSE tau0 END AS tau, least(aic0, aic1) + n * (ln(2 * pi()) + 1) AS ic FROM i JOIN z USING (event_type)),
+x AS (SELECT *, CASE WHEN tau <= -1.61 THEN 2.1659 + 1.4412 * tau + 0.038269 * tau ^ 2 ELSE 1.7339 + 0.93202 * tau - 0.12745 * tau ^ 2 - 0.010368 * tau ^ 3 END AS x FROM t),
+p AS (SELECT *, CASE WHEN tau > 2.74 THEN 1.0 WHEN tau < -18.83 OR x < -7 THEN 0.0
+        ELSE 0.5 + exp(-x * x / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 120), lambda k: x ^ (2 * k + 1) * sqrt(pi()) / exp((k + 1) * ln(2) + lgamma(k + 1.5)))) END AS p FROM x)
+SELECT event_type, round(tau, 6) AS adf_stat, round(p, 6) AS pvalue, CAST(used_lag AS BIGINT) AS used_lag, CAST(nobs AS BIGINT) AS nobs, round(ic, 6) AS ic_best, p < 0.05 AS stationary FROM p""")
+def q_w11_search(spark, sf):
+    """ADF with the lag order searched over 0 and 1, whose regressions have a closed form, and the p-value."""
+    from ..operators.adf import adf
+    a = adf(hourly(spark, sf), HOURLY, maxlag=1)
+    return a.select("event_type", r("adf_stat"), r("pvalue"), "used_lag", "nobs", r("ic_best"), "stationary")
+
+
 # --------------------------------------------------------------------- ARIMA
 
 _AR1_SQL = "WITH " + ",\n".join([S.HOURLY_SRC, S.filled("hr", "event_type", "1 hour", "hf")]) + """,
@@ -994,41 +1078,75 @@ def q_m9(spark, sf):
             .unionByName(loss_curve(spark, gbt, windows, "gbt").withColumn("model", F.lit("GBTWindow"))))
 
 
-def forecast_all(spark, sf):
-    """Every forecaster over all series; returns (predictions, fit log). Timings are taken
-    around eager, checkpointed steps so they measure real work."""
-    import time
-    from ..operators.arima import forecast_arima
-    from ..operators.regressor import run_window_model
-    from ..session import cut_lineage
-    f = hourly_filled(spark, sf)
-    logs = []
-    parts = []
-    for name, fn in (("Persistence", persistence), ("SeasonalNaive", seasonal_naive)):
-        t0 = time.perf_counter()
-        p = cut_lineage(fn(f, HOURLY))
-        logs.append(("pooled", name, 0.0, time.perf_counter() - t0))
-        parts.append(p)
-    t0 = time.perf_counter()
-    p, _ = forecast_arima(f, HOURLY, (1, 1, 1), (1, 1, 1))
-    p = cut_lineage(p)
-    logs.append(("pooled", "SARIMA", time.perf_counter() - t0, 0.0))
-    parts.append(p)
-    p, log, _, _, _ = run_window_model(spark, f, HOURLY, WINDOW_LEN, "linear")
-    logs += [tuple(r) for r in log.collect()]
-    parts.append(p)
-    preds = parts[0]
+#: Forecasters whose fits have a closed form in SQL.
+def _closed_form_models():
+    from ..operators.registry import ArimaModel, LagModel, LinearModel
+    return [LagModel("Persistence", 1), LagModel("SeasonalNaive", HOURLY.period), ArimaModel(order=(1, 0, 0), seasonal=(0, 0, 0)), LinearModel(lags=2)]
+
+
+_FOUR_SQL = _LAG2_SQL + """,
+fl AS (SELECT event_type, ts, pos, y, lag(y, 1) OVER k AS y1, lag(y, 24) OVER k AS y24 FROM hf WINDOW k AS (PARTITION BY event_type ORDER BY pos)),
+ar AS (SELECT event_type, regr_intercept(y, y1) AS c, regr_slope(y, y1) AS phi FROM fl WHERE ts < TIMESTAMP '2024-01-24' GROUP BY 1),
+pr AS (SELECT event_type, ts, 'Persistence' AS model, y, y1 AS yhat FROM fl WHERE ts >= TIMESTAMP '2024-01-24'
+  UNION ALL SELECT event_type, ts, 'SeasonalNaive', y, y24 FROM fl WHERE ts >= TIMESTAMP '2024-01-24'
+  UNION ALL SELECT event_type, ts, 'SARIMA', y, c + phi * y1 FROM fl JOIN ar USING (event_type) WHERE ts >= TIMESTAMP '2024-01-24'
+  UNION ALL SELECT event_type, ts, 'LinearWindow', y, lo + span * (my - b1 * m1 - b2 * m2 + b1 * z1 + b2 * z2) FROM lw, f WHERE ts >= TIMESTAMP '2024-01-24')"""
+
+
+@register("m4_run_models_metrics_hourly", _FOUR_SQL + f"\nSELECT event_type, model, {S.METRICS} FROM pr GROUP BY 1, 2")
+def q_m4(spark, sf):
+    """The runner over the four forecasters with closed-form fits; metrics from its one long table."""
+    from ..operators.registry import run_forecasters
+    return evaluate(run_forecasters(hourly_filled(spark, sf), HOURLY, _closed_form_models()).predictions, by=["event_type", "model"])
+
+
+@register("m11_compare_models_hourly", _FOUR_SQL + f""",
+me AS (SELECT event_type, model, {S.METRICS} FROM pr GROUP BY 1, 2)
+SELECT *, CAST(rank() OVER (PARTITION BY event_type ORDER BY mae, model) AS INTEGER) AS rank_mae, CAST(rank() OVER (PARTITION BY event_type ORDER BY mape, model) AS INTEGER) AS rank_mape,
+  CAST(rank() OVER (PARTITION BY event_type ORDER BY rmse, model) AS INTEGER) AS rank_rmse,
+  round(1 - mae / max(mae) FILTER (model = 'Persistence') OVER (PARTITION BY event_type), 4) AS gain_vs_floor FROM me""")
+def q_m11_models(spark, sf):
+    """Learned and fitted models against the baselines: ranks and the gain over the floor model."""
+    return compare(q_m4(spark, sf), ["event_type"])
+
+
+@register("a14_error_by_hour_models_hourly", _FOUR_SQL + """
+SELECT event_type, model, CAST(hour(ts) AS INTEGER) AS hour, round(avg(abs(y - yhat)), 4) AS mae, count(*) AS n FROM pr GROUP BY 1, 2, 3""")
+def q_a14_models(spark, sf):
+    from ..operators.registry import run_forecasters
+    preds = run_forecasters(hourly_filled(spark, sf), HOURLY, _closed_form_models()).predictions
+    return error_by(preds, ["event_type"], "hour").withColumn("mae", F.round("mae", 4))
+
+
+@register("s10_saved_models_hourly", _FOUR_SQL + "\nSELECT event_type, ts, model, round(y, 6) AS y, round(yhat, 6) AS yhat FROM pr")
+def q_s10_models(spark, sf):
+    """A run's models saved, loaded from the bundle, and predicting anew."""
+    import uuid
+    from ..operators.registry import load_bundle, run_forecasters, save_bundle
+    from ..session import cut_lineage, scratch_path
+    f = cut_lineage(hourly_filled(spark, sf), "filled")
+    path = scratch_path(spark, f"bundle-{uuid.uuid4().hex}")
+    save_bundle(run_forecasters(f, HOURLY, _closed_form_models()), path, HOURLY)
+    parts = [m.predict(f, HOURLY) for m in load_bundle(spark, path).fitted.values()]
+    out = parts[0]
     for p in parts[1:]:
-        preds = preds.unionByName(p)
-    log_df = spark.createDataFrame(logs, "key string, model string, train_s double, infer_s double")
-    return preds, log_df
+        out = out.unionByName(p)
+    return out.select("event_type", "ts", "model", r("y"), r("yhat"))
+
+
+@register("m4_run_all_metrics_hourly")
+def q_m4_all(spark, sf):
+    """All five forecasters through one runner, ranked (no SQL oracle: the seasonal moving average, 24 lags and trees)."""
+    from ..operators.registry import model_rank, run_forecasters
+    m = evaluate(run_forecasters(hourly_filled(spark, sf), HOURLY).predictions, by=["event_type", "model"])
+    return compare(m, ["event_type"]).withColumn("model_rank", model_rank())
 
 
 @register("a16_m10_timing_hourly")
 def q_a16(spark, sf):
-    """Mean train / inference seconds per model (times vary run to run: rows-only)."""
-    _, log = forecast_all(spark, sf)
-    return agg.timing_summary(log)
+    """Mean train and inference seconds per model, all five (times vary run to run: rows-only)."""
+    from ..operators.registry import run_forecasters
+    return agg.timing_summary(run_forecasters(hourly_filled(spark, sf), HOURLY).log)
 
 
 def _metrics_csv_sql():
