@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,8 +74,37 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _TEMPORARY:
+        made.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+_TEMPORARY: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Deletes, at its end, the tables that ``cut_lineage`` wrote meanwhile, but for those given to the function that
+    it yields. Whatever is used afterwards must read kept tables only."""
+    made, kept = [], set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.written_path)
+        return df
+
+    _TEMPORARY.append(made)
+    try:
+        yield keep
+    finally:
+        _TEMPORARY.pop()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for p in made:
+            if p not in kept:
+                target = path(p)
+                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
