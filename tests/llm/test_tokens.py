@@ -128,3 +128,25 @@ def test_tree_rounds_merge_underfull_bins_and_stop(spark):
             used[r.sequence_id] += int(sizes[r.item])
         assert all(v <= 100 for v in used.values())
         assert len(used) <= max(len(best_fit([int(s) for s in sizes], 100)) + 2, 0)
+
+
+def test_plain_words_by_ranks_equal_the_library():
+    """Every token of the file as a word, and words with marks, digits, accents and look-alikes of special strings."""
+    import json
+    from tsgrid.llm.best_fit_packing import Words
+    from tsgrid.llm.ffd_packing import byte_letters
+    path = public_tokenizers.path("word_bpe_49k.json")
+    letters, found = byte_letters(), {"\u0130stanbul", "\u00c0\u00c9\u00ce", "don't", "3.14\u00b2", "\u00aa\u00ba", "x" * 5000, "a\x1cb", "<|endoftext|>", "\u01c5", "caf\u00e9###", "a\u0301", "\u6f22\u5b57"}
+    for t in json.load(open(path))["model"]["vocab"]:
+        try:
+            found.add(bytes(letters[c] for c in t.removesuffix("</w>")).decode())
+        except (UnicodeDecodeError, KeyError):
+            pass
+    found = sorted(w for w in found if w.encode().split() == [w.encode()])
+    words = Words(path)
+    assert words.ranks.usable and len(found) > 30_000
+    for w in found:
+        words.number[w.encode()]
+    words.encode_new()
+    want = Tokenizer.from_file(path).encode_batch(found, add_special_tokens=False)
+    assert [words.flat[words.starts[i]:words.starts[i + 1]].tolist() for i in range(len(found))] == [e.ids for e in want]
