@@ -20,7 +20,7 @@ Training (labelled sentences of a bounded, hash-ordered sample of SAMPLE labelle
    sample texts' margins turns it into the score.
 
 Scoring: the landmarks' weights by subsequence and one coefficient per landmark (whitening and SVM folded) go
-to the tasks; each task scores the distinct segments of a block once. No shuffle. Only the text is an input of
+to the tasks; each worker scores a word once, as long as its bounded store of words holds it. No shuffle. Only the text is an input of
 a score.
 
 Defined results: null or empty text: the margin of an empty segment. Null id: scored, not held out. Repeated
@@ -30,10 +30,12 @@ classes among the sample's texts (those with a segment of three characters), or
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +57,8 @@ _STEPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN - a)]
 def tokens_of(text: str) -> list[str]:
     """Lower-cased words; three or more single characters in a row also give their join."""
     words = text.lower().split()
-    if sum(map(len, words)) < 2 * len(words) or re.search(r"(?<!\S)\S\s+\S\s+\S(?!\S)", text):
+    single = np.fromiter(map(len, words), np.int64, len(words)) == 1
+    if (single[2:] & single[1:-1] & single[:-2]).any():
         run: list[str] = []
         for w in [*words, ".."]:
             if len(w) == 1:
@@ -149,23 +152,60 @@ def _score(table: tuple, to: np.ndarray, bias: float, slope: float, offset: floa
     return run
 
 
+class Scored:
+    """The best segment's margin of the words that this worker has met, scored once each (dropped at LIMIT)."""
+
+    LIMIT = 600_000
+
+    def __init__(self, table: tuple, to: np.ndarray, bias: float):
+        self.table, self.to, self.bias = table, to, bias
+        self.reset()
+
+    def reset(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.margin = np.zeros(0)
+
+    def words_of(self, text: str) -> np.ndarray:
+        return np.array(list(map(self.number.__getitem__, tokens_of(text))), np.int64)
+
+    def score_new(self) -> np.ndarray:
+        new = [self.margin]
+        words = list(islice(self.number, len(self.margin), None))
+        for k in range(0, len(words), 20_000):
+            spread = [windows(w) for w in words[k:k + 20_000]]
+            sizes = np.fromiter(map(len, spread), np.int64, len(spread))
+            flat = margins_of([s for w in spread for s in w], self.table, self.to, self.bias)
+            new.append(np.maximum.reduceat(flat, np.cumsum(sizes) - sizes))
+        self.margin = np.concatenate(new)
+        return self.margin
+
+
+_SCORED: dict[bytes, Scored] = {}
+
+
+def scored(table: tuple, to: np.ndarray, bias: float) -> Scored:
+    """The worker's store of a model; another model takes its place."""
+    name = hashlib.blake2b(b"".join(np.ascontiguousarray(x).tobytes() for x in (*table[:4], to, np.array([bias])))).digest()
+    if name not in _SCORED:
+        _SCORED.clear()
+        _SCORED[name] = Scored(table, to, bias)
+    return _SCORED[name]
+
+
 def text_margins(column: pa.Array, table: tuple, to: np.ndarray, bias: float) -> np.ndarray:
     """The best segment's margin of each text."""
     raw, off = text_buffers(column)
     best = np.full(len(off) - 1, bias)  # of a text without a segment
+    store = scored(table, to, bias)
     for i, j in chunks(off, BLOCK_BYTES):
-        number: defaultdict[str, int] = defaultdict()
-        number.default_factory = number.__len__
-        parts = [np.array(list(map(number.__getitem__, tokens_of(raw[off[k]:off[k + 1]].tobytes().decode()))), np.int64) for k in range(i, j)]
-        spread = [windows(w) for w in number]
-        sizes = np.fromiter(map(len, spread), np.int64, len(spread))
-        if not len(sizes):
-            continue
-        flat = margins_of([s for w in spread for s in w], table, to, bias)
-        word = np.maximum.reduceat(flat, np.cumsum(sizes) - sizes)
+        if len(store.number) > store.LIMIT:
+            store.reset()
+        parts = [store.words_of(raw[off[k]:off[k + 1]].tobytes().decode()) for k in range(i, j)]
+        margin = store.score_new()
         for k, p in enumerate(parts):
             if len(p):
-                best[i + k] = word[p].max()
+                best[i + k] = margin[p].max()
     return best
 
 
