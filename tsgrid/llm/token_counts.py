@@ -33,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import chunks, text_buffers
+from .common import arrow_batches, chunks, materialize, text_buffers
 
 BLOCK_ROWS, BLOCK_BYTES, SALTS = 8192, 16 << 20, 64
+#: Pairs that are summed at once, keys whose counts a task keeps, and rows of an Arrow batch.
+SLICE_PAIRS, KNOWN, BATCH_ROWS = 1 << 19, 300_000, 500
 _PAIR = np.dtype([("at", "<u2"), ("n", "u1")])
 _SUM = np.dtype([("at", "<u2"), ("n", "<i8")])
 ROWS = "piece string, salt int, block long, postings binary"
@@ -78,6 +80,19 @@ def pre_tokens(text: str, find, specials: tuple[str, ...]) -> list[str]:
     return out
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they hold a block's bytes or rows."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= BLOCK_ROWS or size >= BLOCK_BYTES:
+            yield pa.concat_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     raw, off = text_buffers(batch.column("text"))
     for i, j in chunks(off, BLOCK_BYTES):
@@ -90,7 +105,7 @@ def _frequencies(path: str, pattern: str):
         find, specials = finder(pattern), special_strings(path)
         block = TaskContext.get().partitionId() << 32
         names = ["piece", "salt", "block", "postings"]
-        for batch in batches:
+        for batch in _whole(batches):
             for i, j, raw, off in _blocks(batch):
                 number: defaultdict[str, int] = defaultdict()
                 number.default_factory = number.__len__
@@ -144,7 +159,7 @@ def _add_up(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
     for batch in batches:
         keys = batch.column("piece").dictionary_encode()
         words = keys.dictionary.to_pylist()
-        if len(known) > 1_000_000:  # only saves counting a key again in the next batch
+        if len(known) > KNOWN:  # only saves counting a key again in the next batch
             known.clear()
         new = [w for w in words if w not in known and not w.startswith("\0b")]
         for k in range(0, len(new), 1000):
@@ -157,21 +172,26 @@ def _add_up(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         rows = np.flatnonzero(n >= 0)
         if not len(rows):
             continue
-        postings = batch.column("postings").take(pa.array(rows)).cast(pa.large_binary())
+        postings = batch.column("postings").cast(pa.large_binary())
         _, offsets, data = postings.buffers()
-        ends = np.frombuffer(offsets, np.int64)[postings.offset:postings.offset + len(rows) + 1]
-        pairs = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(_PAIR)
-        names, at = np.unique(block[rows], return_inverse=True)
-        size = np.diff(ends) // _PAIR.itemsize
-        cells = np.repeat(at * BLOCK_ROWS, size) + pairs["at"]
-        add = np.bincount(cells, weights=pairs["n"] * np.repeat(n[rows], size).astype(float), minlength=len(names) * BLOCK_ROWS)
-        for b, row in zip(names.tolist(), add.reshape(len(names), BLOCK_ROWS)):
-            if b in sums:
-                sums[b] += row.astype(np.int64)
-            else:
-                sums[b] = row.astype(np.int64)
-        if len(sums) > 500:
-            yield flush()
+        ends = np.frombuffer(offsets, np.int64)[postings.offset:postings.offset + len(n) + 1]
+        raw, size = np.frombuffer(data, np.uint8), np.diff(ends)[rows] // _PAIR.itemsize
+        total, a = np.cumsum(size), 0
+        while a < len(rows):  # some hundred thousand pairs at a time, however many rows share a batch
+            b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + SLICE_PAIRS, side="right")))
+            part, length = rows[a:b], size[a:b]
+            pairs = np.concatenate([raw[ends[i]:ends[i + 1]] for i in part.tolist()]).view(_PAIR)
+            names, at = np.unique(block[part], return_inverse=True)
+            cells = np.repeat(at * BLOCK_ROWS, length) + pairs["at"]
+            add = np.bincount(cells, weights=pairs["n"] * np.repeat(n[part], length).astype(float), minlength=len(names) * BLOCK_ROWS)
+            for name, row in zip(names.tolist(), add.reshape(len(names), BLOCK_ROWS)):
+                if name in sums:
+                    sums[name] += row.astype(np.int64)
+                else:
+                    sums[name] = row.astype(np.int64)
+            a = b
+            if len(sums) > 500:
+                yield flush()
     if sums:
         yield flush()
 
@@ -194,6 +214,8 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, pattern: str | N
     ship_package(docs.sparkSession)
     path, pattern = tokenizer or public_path("byte_bpe_50k.json"), pattern or public_pattern()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sums = (rows.mapInArrow(_frequencies(path, pattern), ROWS).repartition("piece", "salt")
-            .mapInArrow(_count_and_add(path), "block long, sums binary, about binary"))
+    # small Arrow batches: the postings of 10,000 hot pre-tokens in one batch are hundreds of MB
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        sums = materialize(rows.mapInArrow(_frequencies(path, pattern), ROWS).repartition("piece", "salt")
+                           .mapInArrow(_count_and_add(path), "block long, sums binary, about binary"), "token-sums")
     return sums.groupBy("block").applyInArrow(_finish, "doc_id long, n_bytes long, n_tokens long")
