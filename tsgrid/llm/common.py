@@ -80,17 +80,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def is_star_forest(edges: DataFrame) -> bool:
+    """True if every u has one edge and no v is a u: with v < u throughout, v is then its component's smallest node."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out")).union(edges.select(F.col("v").alias("x"), F.lit(0).alias("out")))
+    return ends.groupBy("x").agg(F.sum("out").alias("n"), F.min("out").alias("least")).where("n > 1 or (n = 1 and least = 0)").isEmpty()
+
+
 def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of the undirected edges.
 
     Alternates the large-star and small-star steps on the edge table (each a group-by with a map-side
     minimum and a join), so no neighbour list is ever held; every step is written to the shared folder.
-    Stops when the edge table no longer changes.
+    Stops as soon as the edges are a forest of stars.
     """
     e = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                     .where("u <> v").distinct(), "cc")
-    last = None
     for _ in range(max_rounds):
+        if is_star_forest(e):
+            break
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -98,11 +105,17 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         small = large.join(low, "u")
         e = materialize(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "cc")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            break
-        last = now
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("u"), "v").distinct()
     return e.union(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def join_components(known: DataFrame, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """``known`` (node, component) with more edges: only the edges between different components, by their labels, go
+    through ``components``."""
+    label = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).join(label("a"), "a", "left").join(label("b"), "b", "left")
+    met = materialize(components(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")), "a", "b"), "cc-labels")
+    moved = known.join(met.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    return moved.select("node", F.coalesce("to", "component").alias("component")).union(met.join(known, "node", "left_anti").select("node", "component"))

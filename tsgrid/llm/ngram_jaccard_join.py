@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import arrow_batches, chunks, components, materialize, mix, small_broadcast, text_buffers
+from .common import arrow_batches, chunks, components, join_components, materialize, mix, small_broadcast, text_buffers
 
 #: Bytes that separate words, and upper-case ASCII.
 SPACE = np.zeros(256, bool)
@@ -392,8 +392,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
         pairs = materialize(pairs.distinct(), "near-pairs")
         return materialize(pairs.join(side("grams", "b"), "b").join(side("grams", "a"), "a").mapInArrow(_linked(percent), "a long, b long"), "links").distinct()
 
-    def group(links: DataFrame) -> DataFrame:
-        return materialize(components(links, "a", "b"), "components")
+    def group(known: DataFrame | None, links: DataFrame) -> DataFrame:
+        return materialize(components(links, "a", "b") if known is None else join_components(known, links, "a", "b"), "components")
 
     twice = nodes.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     links = materialize(nodes.join(twice, "id").where("rep <> a").select("a", F.col("rep").alias("b")), "repeated-ids")
@@ -417,7 +417,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
             pairs = materialize(pairs, "pairs")
             both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
             done = both if done is None else done.union(both)
-            links = links.union(linked(near(pairs)))
+            new = linked(near(pairs))
         else:
             few = open_.where(F.col("m") <= SMALL)
             pairs = (few.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
@@ -431,10 +431,10 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
                      .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
                      .select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "node", "n", "comp", "keys",
                              F.col("xnode").alias("sketch")).groupBy("key", "left", "right").applyInArrow(_near_in_tile(percent), "a long, b long"))
-            links = links.union(linked(near(pairs).union(tiles)))
-        comps = group(links)
+            new = linked(near(pairs).union(tiles))
+        comps = group(comps, new if turn else links.union(new))
         open_ = (open_.drop("comp", "m").join(comps, open_.node == comps.node, "left").select("key", open_.node, "n", "w", F.coalesce("component", open_.node).alias("comp")))
-    comps = group(links) if comps is None else comps
+    comps = group(None, links) if comps is None else comps
     label = (nodes.select("id", "rep").distinct().join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", F.coalesce("component", "rep").alias("component")))
     label = label.groupBy("id").agg(F.min("component").alias("component"))
