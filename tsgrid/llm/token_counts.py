@@ -5,8 +5,8 @@ frequencies, and summed; token ids are never materialised.
    documents one row per distinct pre-token: (pre-token, salt, block, postings), the postings being packed
    (place in the block, frequency) pairs. One more row, whose key no pre-token can have, lists the block's ids.
    A pre-token in more than a tenth of a block's texts is hot: its rows are dealt over SALTS salts by block.
-2. One shuffle by (pre-token, salt) brings a pre-token's rows together. There the library counts its pieces
-   once, and the count is joined to all its frequency rows. (The join is this co-partitioned lookup: as two
+2. One shuffle by (pre-token, salt) brings a pre-token's rows together. There its pieces are counted
+   once (as the library would; ``ffd_packing.encoder``), and the count is joined to all its frequency rows. (The join is this co-partitioned lookup: as two
    branches with a Spark join between them the Python stage and its shuffle ran twice, since Spark doesn't reuse
    the exchange of a Python stage: 1.89 x input of disk and 932 CPU seconds a GB.)
 3. The same tasks add frequency x pieces per block and place before the second shuffle, which sums by block.
@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import arrow_batches, chunks, materialize, text_buffers
+from .common import chunks, text_buffers
 
 BLOCK_ROWS, BLOCK_BYTES, SALTS = 8192, 16 << 20, 64
-#: Pairs that are summed at once, keys whose counts a task keeps, and rows of an Arrow batch.
-SLICE_PAIRS, KNOWN, BATCH_ROWS = 1 << 19, 300_000, 500
+#: Pairs that are summed at once, and keys whose counts a task keeps.
+SLICE_PAIRS, KNOWN = 1 << 19, 300_000
 _PAIR = np.dtype([("at", "<u2"), ("n", "u1")])
 _SUM = np.dtype([("at", "<u2"), ("n", "<i8")])
 ROWS = "piece string, salt int, block long, postings binary"
@@ -80,19 +80,6 @@ def pre_tokens(text: str, find, specials: tuple[str, ...]) -> list[str]:
     return out
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches joined until they hold a block's bytes or rows."""
-    held, rows, size = [], 0, 0
-    for batch in batches:
-        held.append(batch)
-        rows, size = rows + batch.num_rows, size + batch.nbytes
-        if rows >= BLOCK_ROWS or size >= BLOCK_BYTES:
-            yield pa.concat_batches(held)
-            held, rows, size = [], 0, 0
-    if rows:
-        yield pa.concat_batches(held)
-
-
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     raw, off = text_buffers(batch.column("text"))
     for i, j in chunks(off, BLOCK_BYTES):
@@ -105,7 +92,7 @@ def _frequencies(path: str, pattern: str):
         find, specials = finder(pattern), special_strings(path)
         block = TaskContext.get().partitionId() << 32
         names = ["piece", "salt", "block", "postings"]
-        for batch in _whole(batches):
+        for batch in batches:
             for i, j, raw, off in _blocks(batch):
                 number: defaultdict[str, int] = defaultdict()
                 number.default_factory = number.__len__
@@ -141,8 +128,8 @@ def _count_and_add(path: str):
 
 def _add_up(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Counts each pre-token once and sums frequency x pieces per block and place; flushed at some millions of places."""
-    from tokenizers import Tokenizer
-    tok, known = Tokenizer.from_file(path), {}
+    from .ffd_packing import encoder
+    encode, known = encoder(path), {}  # one tokenizer for the life of the worker
 
     def flush() -> pa.RecordBatch:
         rows = []
@@ -162,8 +149,7 @@ def _add_up(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         if len(known) > KNOWN:  # only saves counting a key again in the next batch
             known.clear()
         new = [w for w in words if w not in known and not w.startswith("\0b")]
-        for k in range(0, len(new), 1000):
-            known.update((w, len(e)) for w, e in zip(new[k:k + 1000], tok.encode_batch_fast(new[k:k + 1000], add_special_tokens=False)))
+        known.update((w, len(encode(w))) for w in new)
         n = np.array([known.get(w, -1) for w in words], np.int64)[keys.indices.to_numpy()] if words else np.zeros(0, np.int64)
         block = batch.column("block").to_numpy(zero_copy_only=False)
         heads = np.flatnonzero(n < 0)
@@ -214,8 +200,6 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, pattern: str | N
     ship_package(docs.sparkSession)
     path, pattern = tokenizer or public_path("byte_bpe_50k.json"), pattern or public_pattern()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # small Arrow batches: the postings of 10,000 hot pre-tokens in one batch are hundreds of MB
-    with arrow_batches(docs.sparkSession, BATCH_ROWS):
-        sums = materialize(rows.mapInArrow(_frequencies(path, pattern), ROWS).repartition("piece", "salt")
-                           .mapInArrow(_count_and_add(path), "block long, sums binary, about binary"), "token-sums")
+    sums = (rows.mapInArrow(_frequencies(path, pattern), ROWS).repartition("piece", "salt")
+            .mapInArrow(_count_and_add(path), "block long, sums binary, about binary"))
     return sums.groupBy("block").applyInArrow(_finish, "doc_id long, n_bytes long, n_tokens long")
