@@ -113,3 +113,20 @@ def test_duplicate_header_names_and_repeated_records(spark):
     caps = [(1, "a.com", 1, "response", {"ETag": "x", "etag": "y"}), (1, "a.com", 2, "response", {"etag": "z"}), (5, "a.com", 9, "revisit", {"ETAG": "z"}), (5, "a.com", 9, "revisit", {"ETAG": "z"})]
     out = warc.resolve_revisits(spark.createDataFrame(caps, "record_id long, url string, captured_at long, kind string, headers map<string,string>")).collect()
     assert [(r.status, r.response_id, r.response_at) for r in out] == [("resolved", 1, 2)] * 2
+
+
+def test_captures_at_one_time_and_both_sides_of_a_revisit(spark):
+    """All captures at one time: nothing is earlier, and no window holds more than one row of the URL."""
+    schema = "record_id long, url string, captured_at long, kind string, headers map<string,string>"
+    caps = [(i, "hot.com", 7, "response" if i % 2 else "revisit", {"etag": "1"}) for i in range(400)]
+    out = warc.resolve_revisits(spark.createDataFrame(caps, schema)).collect()
+    assert len(out) == 200 and {r.status for r in out} == {"no_response"}
+    out = warc.resolve_revisits(spark.createDataFrame(caps + [(500, "hot.com", 8, "revisit", {})] * 2, schema)).where("status = 'resolved'").collect()
+    assert [(r.record_id, r.response_id) for r in out] == [(500, 399)] * 2
+
+
+def test_derived_crawl_has_responses_on_both_sides(spark):
+    caps = warc.captures_of_pages(spark.read.parquet(f"{SF01}/pages.parquet"))
+    status = {r.status: r["count"] for r in warc.resolve_revisits(caps).groupBy("status").count().collect()}
+    assert status["no_response"] > 20 and status["resolved"] > 20
+    assert warc.captures_of_pages(spark.read.parquet(f"{SF01}/pages.parquet").limit(0)).count() == 0

@@ -3,8 +3,10 @@
 Captures are rows (record_id, url, captured_at long, kind 'response' or 'revisit', headers map<string,string>).
 URLs are joined in canonical form. The join is as-of: the response of the same canonical URL with the largest
 captured_at below the revisit's (of equals the largest record_id). A URL may hold a third of all captures, so
-no window holds a whole URL: time is cut at BUCKETS quantiles of all captures, the window runs per (URL,
-bucket), and the latest response of the buckets before comes from a table of one row per URL and bucket.
+no window holds a whole URL: captures are first reduced to one row per URL and time (partial aggregation, so equal
+times can't fill a window), time is cut at BUCKETS quantiles of these rows, the window runs per (URL, bucket), and the
+latest response of the buckets before comes from a table of one row per URL and bucket. Revisits meet the result by URL
+and time, in a join that Spark splits where it is skewed.
 Only times and ids move through the windows; the response's headers are joined afterwards by record id,
 where Spark splits a response that very many revisits meet.
 
@@ -56,20 +58,21 @@ def lower_headers(headers: Column) -> Column:
 
 def latest_response(captures: DataFrame) -> DataFrame:
     """``captures`` (url_key, captured_at, kind, record_id, ...) of kind revisit with ``hit`` = (t, id) or null."""
-    spark = captures.sparkSession
-    cuts = captures.agg(F.percentile_approx("captured_at", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("q")).first().q or []
-    bucket = F.size(F.filter(F.lit(sorted(set(cuts))).cast("array<bigint>"), lambda q: q <= F.col("captured_at"))) if cuts else F.lit(0)
-    x = captures.withColumn("bucket", bucket).withColumn("own", F.when(F.col("kind") == "response", F.struct(F.col("captured_at").alias("t"), F.col("record_id").alias("id"))))
-    carried = (x.where("own is not null").groupBy("url_key", "bucket").agg(F.max("own").alias("own")))
-    steps = x.select("url_key", "bucket").where("url_key is not null").distinct().join(carried, ["url_key", "bucket"], "left")
-    steps = steps.withColumn("before", F.max("own").over(Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    inside = Window.partitionBy("url_key", "bucket").orderBy("captured_at").rangeBetween(Window.unboundedPreceding, -1)
     # without a URL or a time nothing is joined, and no group of such rows is formed
     known = F.col("url_key").isNotNull() & F.col("captured_at").isNotNull()
-    met = (x.where(known).withColumn("near", F.max("own").over(inside)).where("kind = 'revisit'")
-           .join(steps.select("url_key", "bucket", "before"), ["url_key", "bucket"], "left")
-           .withColumn("hit", F.greatest("near", "before")).drop("near", "before", "own", "bucket"))
-    unknown = x.where(~known & (F.col("kind") == "revisit")).withColumn("hit", F.lit(None).cast(met.schema["hit"].dataType)).drop("own", "bucket")
+    own = F.when(F.col("kind") == "response", F.struct(F.col("captured_at").alias("t"), F.col("record_id").alias("id")))
+    moments = materialize(captures.where(known).groupBy("url_key", "captured_at").agg(F.max(own).alias("own")), "moments")
+    cuts = moments.agg(F.percentile_approx("captured_at", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("q")).first().q or []
+    bucket = F.size(F.filter(F.lit(sorted(set(cuts))).cast("array<bigint>"), lambda q: q <= F.col("captured_at"))) if cuts else F.lit(0)
+    x = moments.withColumn("bucket", bucket)
+    steps = x.groupBy("url_key", "bucket").agg(F.max("own").alias("own"))
+    steps = steps.withColumn("before", F.max("own").over(Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = Window.partitionBy("url_key", "bucket").orderBy("captured_at").rowsBetween(Window.unboundedPreceding, -1)
+    hits = (x.withColumn("near", F.max("own").over(inside)).join(steps.select("url_key", "bucket", "before"), ["url_key", "bucket"])
+            .select("url_key", "captured_at", F.greatest("near", "before").alias("hit")))
+    revisits = captures.where("kind = 'revisit'")
+    met = revisits.where(known).join(hits, ["url_key", "captured_at"], "left").select(*captures.columns, "hit")
+    unknown = revisits.where(~known).withColumn("hit", F.lit(None).cast(met.schema["hit"].dataType))
     return met.unionByName(unknown)
 
 
@@ -96,21 +99,21 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
                       F.when(F.col("status") == "resolved", F.col("hit.t")).alias("response_at"), F.when(F.col("status") == "resolved", merged).alias("headers"))
 
 
-#: The derived crawl: every page is captured in full at time page_id and asked for again RECRAWL ticks later.
-RECRAWL = 5000
-
-
 def captures_of_pages(pages: DataFrame) -> DataFrame:
-    """Two captures per page: the full response, and a not-modified revisit that carries the page's own ETag."""
+    """Two captures per page: the full response at time page_id, and a not-modified revisit that carries the page's own
+    ETag. The revisit's time is page_id plus a delay drawn by hash from the width of the range of page_id to either
+    side, so at every size responses lie before and after the revisits of their URL."""
+    width = pages.agg((F.max("page_id") - F.min("page_id") + 1).cast("long").alias("n")).first().n or 1
+    drawn = F.conv(F.substring(F.md5(F.col("record_id").cast("string")), 1, 8), 16, 10).cast("long")
     etag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
     p = pages.select(F.col("page_id").cast("long").alias("record_id"), F.col("url"), etag.alias("etag"),
                      F.octet_length(F.coalesce("html", F.lit(""))).cast("string").alias("size"))
     pair = lambda *kv: F.map_from_arrays(F.array(*map(F.lit, kv[::2])), F.array(*kv[1::2]))
-    at = F.col("record_id")
+    at, later = F.col("record_id"), F.col("record_id") + drawn % (2 * width) - width
     first = p.select("record_id", "url", at.alias("captured_at"), F.lit("response").alias("kind"), pair(
         "Content-Type", F.lit("text/html"), "Content-Length", F.col("size"), "ETag", F.col("etag"), "Date", at.cast("string"), "Cache-Control", F.lit("max-age=60")).alias("headers"))
-    again = p.select("record_id", "url", (at + RECRAWL).alias("captured_at"), F.lit("revisit").alias("kind"), pair(
-        "Content-Length", F.lit("0"), "ETag", F.concat(F.lit("W/"), F.col("etag")), "Date", (at + RECRAWL).cast("string"), "X-Cache", F.lit("hit")).alias("headers"))
+    again = p.select("record_id", "url", later.alias("captured_at"), F.lit("revisit").alias("kind"), pair(
+        "Content-Length", F.lit("0"), "ETag", F.concat(F.lit("W/"), F.col("etag")), "Date", later.cast("string"), "X-Cache", F.lit("hit")).alias("headers"))
     return first.unionByName(again)
 
 
@@ -121,16 +124,17 @@ def headers_digest(headers: str) -> Column:
 
 ORACLE_SQL = rf"""
 WITH u AS (SELECT page_id, html, regexp_replace(regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*:', ''), '#.*$', ''), '^//', '') AS r FROM pages),
-q AS (SELECT page_id, '"' || md5(coalesce(html, '')) || '"' AS etag, strlen(coalesce(html, '')) AS size,
+w AS (SELECT coalesce(max(page_id) - min(page_id) + 1, 1) AS n FROM pages),
+q AS (SELECT page_id, page_id + ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT % (2 * n) - n AS later, '"' || md5(coalesce(html, '')) || '"' AS etag, strlen(coalesce(html, '')) AS size,
     lower(regexp_extract(r, '^(?:[^/?@]*@)?(?:[wW]{{3}}\.)?([^/?:]+)', 1)) AS host, regexp_extract(r, '^[^/?]*:(\d+)(?:[/?]|$)', 1) AS port,
     regexp_replace(regexp_extract(r, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
-    array_to_string(list_sort(list_filter(string_split(regexp_replace(regexp_extract(r, '\?(.*)$', 1), '{TRACKING}', '', 'g'), '&'), lambda x: x <> '')), '&') AS query FROM u),
-k AS (SELECT page_id, etag, size, CASE WHEN host <> '' THEN host || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || path
+    array_to_string(list_sort(list_filter(string_split(regexp_replace(regexp_extract(r, '\?(.*)$', 1), '{TRACKING}', '', 'g'), '&'), lambda x: x <> '')), '&') AS query FROM u, w),
+k AS (SELECT page_id, later, etag, size, CASE WHEN host <> '' THEN host || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || path
     || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS url_key FROM q),
-j AS (SELECT a.page_id, a.url_key, a.etag, b.page_id AS rid, b.etag AS retag, b.size AS rsize
-    FROM k a ASOF LEFT JOIN k b ON a.url_key = b.url_key AND a.page_id + {RECRAWL} > b.page_id)
+j AS (SELECT a.page_id, a.later, a.url_key, a.etag, b.page_id AS rid, b.etag AS retag, b.size AS rsize
+    FROM k a ASOF LEFT JOIN k b ON a.url_key = b.url_key AND a.later > b.page_id)
 SELECT page_id, url_key, CASE WHEN rid IS NULL THEN 'no_response' WHEN etag = retag THEN 'resolved' ELSE 'mismatch' END AS status,
   CASE WHEN etag = retag THEN rid END AS response_id,
   CASE WHEN etag = retag THEN sha256('cache-control:max-age=60' || chr(10) || 'content-length:' || rsize || chr(10) || 'content-type:text/html' || chr(10)
-    || 'date:' || (page_id + {RECRAWL}) || chr(10) || 'etag:W/' || etag || chr(10) || 'x-cache:hit') END AS headers_sha256 FROM j
+    || 'date:' || later || chr(10) || 'etag:W/' || etag || chr(10) || 'x-cache:hit') END AS headers_sha256 FROM j
 """
