@@ -148,3 +148,11 @@ def test_an_insult_in_one_phrase_is_evidence_and_few_texts_still_give_a_model(sp
     df = spark.createDataFrame(mixed, "doc_id long, text string, toxic int")
     assert tox.toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic")).where("predicted = 1").count() == 0
     assert tox.sketch("a b c d".split()) == tox.sketch("a b c d".split()) and isinstance(tox.sketch([]), int)
+
+
+def test_a_repeated_labelled_id_gives_one_row_of_the_sample(spark):
+    docs = spark.range(3000).selectExpr("if(id < 2000, 7L, id) as doc_id", "concat('text ', id) as text").unionByName(spark.createDataFrame([(8, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1, 1), (7, 1, 1), (8, 1, 1), *((i, 1, 0) for i in range(2000, 2040))], "doc_id long, quality int, toxic int")
+    rows = tox.training_sample(docs, labels, 10).collect()
+    ids = [r.doc_id for r in rows]
+    assert len(ids) == len(set(ids)) and sum(r.toxic for r in rows) <= 10 and sum(1 - r.toxic for r in rows) == 10

@@ -328,13 +328,15 @@ def held_out(id_col: str) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, toxic): per class the ``per_class`` labelled ids outside the held-out fold that hash lowest."""
+    """(doc_id, text, toxic): per class the ``per_class`` labelled ids outside the held-out fold that hash lowest. Of an
+    id's rows the one whose text hashes lowest is taken, so the sample has at most ``per_class`` rows of a class."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
              .where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     lowest = lambda y: known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
     ids = materialize(lowest(1).union(lowest(0)), "toxic-sample")
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(d.join(F.broadcast(ids), "doc_id"), "toxic-texts")
+    one = d.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("toxic").alias("toxic"))
+    return materialize(one, "toxic-texts")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: DataFrame | None = None,
