@@ -85,7 +85,11 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     met = latest_response(c)
     full = (c.where("kind = 'response'").groupBy(F.col("record_id").alias("response_id"))
             .agg(F.max_by("headers", F.struct("captured_at", F.element_at("headers", "etag"))).alias("stored")))
-    out = met.withColumn("response_id", F.col("hit.id")).join(full, "response_id", "left")
+    # revisits without a response are dealt by their own id (spread), which no response has, so that nulls don't meet in one task
+    spread = F.when(F.col("response_id").isNull(), F.concat(F.lit("none"), F.xxhash64("record_id", "captured_at", "url_key").cast("string")))
+    out = met.withColumn("response_id", F.col("hit.id"))
+    out = (out.withColumn("meets", F.coalesce(spread, F.col("response_id").cast("string")))
+           .join(full.where("response_id is not null").select(F.col("response_id").cast("string").alias("meets"), "stored"), "meets", "left"))
     strong = lambda v: F.regexp_replace(v, "^[wW]/", "")
     verdict = F.lit(True)
     for name in reversed(names):
