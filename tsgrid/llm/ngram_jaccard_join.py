@@ -24,7 +24,7 @@ Two refinements keep this exact and cheap:
 Documents with one and the same set (of any number) are one node. Signature buckets are then resolved
 without emitting all pairs: each round pairs the members of a bucket only with its pivot (the member that
 shares most buckets), verifies, joins components, and drops every bucket whose members are already in one
-component. After PIVOT_ROUNDS the pairs still open are verified one and all: buckets of up to SMALL members by
+component (found by partial aggregates over the bucket, not in one task). After PIVOT_ROUNDS the pairs still open are verified one and all: buckets of up to SMALL members by
 a join of ids, larger ones (a dense group whose members lie near the limit) in tiles of blocks of at most TILE
 members, inside which sketches are compared and only pairs that may link are written, each in the bucket
 with its least shared key.
@@ -252,7 +252,11 @@ def _describe(n: int):
 
 
 def _sign(n: int, percent: int, heavy: np.ndarray):
-    """(signature, id) rows; equal sets within a block of rows are signed once, under their least id."""
+    """(key, id, spread) rows; equal sets within a block of rows are signed once, under their least id.
+
+    A signature that several sets of the block share is known to be shared: its rows have a spread of their own (the id)
+    and one row without an id stands for them under spread 0, where the other signatures' rows are. So at most one row a
+    block meets under (key, 0), however many rows the signature has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             g, off = _sets_of(batch, "text", n)
@@ -263,6 +267,7 @@ def _sign(n: int, percent: int, heavy: np.ndarray):
                     least.setdefault(g[off[i]:off[i + 1]].tobytes(), int(i))
             keep = sorted(least.values())
             del least
+            found: list[tuple[np.ndarray, np.ndarray]] = []
             at = 0
             while at < len(keep):
                 to, room = at, 0
@@ -272,8 +277,27 @@ def _sign(n: int, percent: int, heavy: np.ndarray):
                 part = keep[at:to]
                 own = np.concatenate([[0], np.cumsum([off[i + 1] - off[i] for i in part])]).astype(np.int64)
                 keys, rows = signatures(np.concatenate([g[off[i]:off[i + 1]] for i in part]), own, heavy, percent)
-                yield pa.RecordBatch.from_arrays([_long(keys), pa.array(ids[part][rows])], ["key", "id"])
+                found.append((keys, ids[part][rows]))
                 at = to
+            if not found:
+                continue
+            keys, owners = (np.concatenate(x) for x in zip(*found))
+            del found, g
+            order = np.lexsort((owners, keys))
+            keys, owners = keys[order], owners[order]
+            apart = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])[:len(keys)]
+            keys, owners = keys[apart], owners[apart]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+            times = np.diff(np.append(first, len(keys)))
+            known = np.repeat(times > 1, times)
+            stand = keys[first[times > 1]]
+            spread = np.where(known, owners, 0)
+            for i in range(0, len(keys), 1 << 17):
+                j = slice(i, i + (1 << 17))
+                yield pa.RecordBatch.from_arrays([_long(keys[j]), pa.array(owners[j]), pa.array(spread[j]), pa.array(known[j])], ["key", "id", "spread", "known"])
+            if len(stand):
+                yield pa.RecordBatch.from_arrays([_long(stand), pa.nulls(len(stand), pa.int64()), pa.array(np.zeros(len(stand), np.int64)),
+                                                  pa.array(np.zeros(len(stand), bool))], ["key", "id", "spread", "known"])
     return run
 
 
@@ -371,9 +395,10 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
     nodes = materialize(texts.where("id is not null and n > 0").select("id", "n", "s1", "s2").join(reps, ["s1", "s2"])
                         .select("id", "n", "rep").distinct(), "set-nodes")
 
-    signed = rows.mapInArrow(_sign(n, percent, heavy), "key long, id long")
-    shared = materialize(signed.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key")))
-                         .where("m > 1").select("key", "id"), "shared-signatures")
+    signed = rows.mapInArrow(_sign(n, percent, heavy), "key long, id long, spread long, known boolean")
+    alone = Window.partitionBy("key", "spread", "known")
+    shared = materialize(signed.withColumn("m", F.count(F.lit(1)).over(alone)).where("id is not null and (known or m > 1)")
+                         .select("key", "id"), "shared-signatures")
     members = shared.join(nodes, "id").select("key", F.col("rep").alias("node"), "n").distinct()
     weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("w"))
     members = materialize(members.join(weight, "node"), "signature-members")
@@ -397,13 +422,15 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
 
     twice = nodes.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     links = materialize(nodes.join(twice, "id").where("rep <> a").select("a", F.col("rep").alias("b")), "repeated-ids")
-    comps, done, open_ = None, None, members.withColumn("comp", F.col("node"))
-    same_key = Window.partitionBy("key")
+    comps, done, labelled = None, None, members.withColumn("comp", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
-        open_ = materialize(open_.withColumn("lo", F.min("comp").over(same_key)).withColumn("hi", F.max("comp").over(same_key))
-                            .withColumn("m", F.count(F.lit(1)).over(same_key)).where("lo <> hi").drop("lo", "hi"), "open-buckets")
-        if open_.isEmpty():
+        # partial aggregates joined back: no task holds a whole bucket
+        buckets = materialize(labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+                              .where("lo <> hi").select("key", "m"), "open-buckets")
+        n_open = buckets.count()
+        if not n_open:
             break
+        open_ = labelled.join(small_broadcast(buckets, n_open), "key")
         heaviest = F.struct("w", (-F.col("node")).alias("first"), "n", "comp")
         if turn < PIVOT_ROUNDS:
             # the pivot of later rounds comes from outside the component that holds the heaviest member
@@ -433,7 +460,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
                              F.col("xnode").alias("sketch")).groupBy("key", "left", "right").applyInArrow(_near_in_tile(percent), "a long, b long"))
             new = linked(near(pairs).union(tiles))
         comps = group(comps, new if turn else links.union(new))
-        open_ = (open_.drop("comp", "m").join(comps, open_.node == comps.node, "left").select("key", open_.node, "n", "w", F.coalesce("component", open_.node).alias("comp")))
+        if turn < PIVOT_ROUNDS:
+            labelled = materialize(open_.drop("comp", "m").join(comps, "node", "left").select("key", "node", "n", "w", F.coalesce("component", "node").alias("comp")), "open-members")
     comps = group(None, links) if comps is None else comps
     label = (nodes.select("id", "rep").distinct().join(comps.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", F.coalesce("component", "rep").alias("component")))
