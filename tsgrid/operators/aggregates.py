@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Gaussian KDE defaults (Scott's rule factor n^(-1/5), 200 points, cut 3).
@@ -52,10 +52,88 @@ def top_key(totals_df: DataFrame, key: str = "square_id", total: str = "total_in
                      .orderBy(F.col(total).desc(), F.col(key).asc()).limit(n))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs, by=(), names=None) -> DataFrame:
-    """Linear-interpolated quantiles (pandas / quantile_cont) per group, exactly, without
-    holding a group's values in one task: rows are ranked with ``value_ranks`` and the
-    two order statistics around (n-1)q are picked by conditional partial aggregates."""
+# A quantile sketch is off by at most n / SKETCH_ACCURACY ranks; a bracket reaches so many times that to either side,
+# the first that is wide enough for the group's size.
+SKETCH_ACCURACY, BRACKET_REACH = 5000, (2, 16, 100, 1000)
+# Groups whose brackets may be broadcast (a count checks it): 200 bytes each.
+BRACKET_ROWS = 100_000
+
+
+def quantile_brackets(df: DataFrame, value: str, qs, by=(), accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """(by..., _n, _b): per group the number of values and, for each asked quantile, an array element (i, lo, hi) whose
+    values lo..hi hold the order statistics around rank (n - 1) q.
+
+    ``percentile_approx`` is a mergeable sketch, so each task sends one sketch per group. A bracket of reach r holds the
+    two order statistics of a group of n >= 2 / (r - 1 / accuracy) values, so smaller groups take a wider one, the
+    smallest their whole range. NaN ranks above all values, as in Spark's own order: the sketch reads it as infinity."""
+    v, inf = F.col(value), F.lit(float("inf"))
+    top = F.when(F.isnan(v), inf).otherwise(v)
+    ladder = [w / accuracy for w in BRACKET_REACH if w < accuracy]
+    points = [min(1.0, max(0.0, q + side * r)) for q in qs for r in ladder for side in (-1, 1)]
+    st = df.where(v.isNotNull()).groupBy(*by).agg(
+        F.count(v).alias("_n"), F.min(v).alias("_min"), F.max(v).alias("_max"),
+        F.percentile_approx(top, points, accuracy).alias("_p"))
+    items = []
+    for i, q in enumerate(qs):
+        lo, hi = F.col("_min"), F.col("_max")
+        for j, r in reversed(list(enumerate(ladder))):
+            at, large = 2 * (i * len(ladder) + j), F.col("_n") >= math.ceil(2 / (r - 1 / accuracy))
+            lo = F.when(large, F.col("_min") if q - r <= 0 else F.col("_p")[at]).otherwise(lo)
+            hi = F.when(large, F.col("_max") if q + r >= 1 else F.col("_p")[at + 1]).otherwise(hi)
+        items.append(F.struct(F.lit(i).alias("i"), lo.alias("lo"), F.when(hi == inf, F.lit(float("nan"))).otherwise(hi).alias("hi")))
+    return st.select(*by, "_n", F.array(*items).alias("_b"))
+
+
+def bracketed_counts(rows: DataFrame, value: str, brackets: DataFrame, by=()) -> DataFrame:
+    """(by..., i, v, _n, c): how often each value v inside quantile i's bracket occurs, and, with v null, how many values
+    lie below the bracket. All rows below it become one row a task before the shuffle, and so do equal values."""
+    v = F.col(value)
+    x = rows.where(v.isNotNull())
+    x = x.join(brackets, on=list(by)) if by else x.crossJoin(F.broadcast(brackets))  # one row
+    part = F.transform("_b", lambda b: F.when(v < b["lo"], F.struct(b["i"].alias("i"), F.lit(None).cast("double").alias("v")))
+                       .when(v <= b["hi"], F.struct(b["i"].alias("i"), v.alias("v"))))
+    x = x.select(*by, "_n", F.explode(F.filter(part, lambda p: p.isNotNull())).alias("_e"))
+    return x.groupBy(*by, "_n", F.col("_e.i").alias("i"), F.col("_e.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+
+
+def exact_quantiles(df: DataFrame, col: str, qs, by=(), names=None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Linear-interpolated quantiles (pandas / quantile_cont) per group, exactly, by bracketed selection.
+
+    A sketch brackets every asked rank, a second pass counts the values inside the brackets (about 4 / accuracy of a
+    large group for each quantile) and those below, and the two order statistics around (n - 1) q are read off the running
+    counts. Nothing but one row per group is written. A group whose brackets miss a rank is ranked in full.
+    """
+    from ..session import cut_lineage
+    by, qs = list(by), [float(q) for q in qs]
+    names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
+    rows = df.select(*by, F.col(col).cast("double").alias("_v"))
+    brackets = cut_lineage(quantile_brackets(rows, "_v", qs, by, accuracy), "brackets")
+    small = F.broadcast(brackets) if by and brackets.count() <= BRACKET_ROWS else brackets
+    counts = bracketed_counts(rows, "_v", small, by)
+    running = Window.partitionBy(*by, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    x = counts.withColumn("_to", F.sum("c").over(running)).where("v is not null")
+    h = (F.col("_n") - 1) * F.element_at(F.array(*map(F.lit, qs)), F.col("i") + 1)
+    at = lambda r: F.max(F.when((r < F.col("_to")) & (r >= F.col("_to") - F.col("c")), F.col("v")))
+    picked = x.groupBy(*by, "i").agg(at(F.floor(h)).alias("a"), at(F.ceil(h)).alias("z"), F.max(h - F.floor(h)).alias("f"))
+    one = lambda i, c: F.max(F.when(F.col("i") == i, F.col(c)))
+    wide = picked.groupBy(*by).agg(*[one(i, c).alias(f"{c}{i}") for i in range(len(qs)) for c in "azf"])
+    wide = cut_lineage(wide, "quantiles")
+    whole = " and ".join(f"{c}{i} is not null" for i in range(len(qs)) for c in "az")
+    found = wide.where(whole)
+    missed = brackets.where("_n > 0").select(*by, F.lit(1).alias("_m"))
+    missed = missed.join(found.select(*by), on=by, how="left_anti") if by else missed.where(F.lit(found.isEmpty()))
+    out = (found if by else wide).select(*by, *[(F.col(f"a{i}") + F.col(f"f{i}") * (F.col(f"z{i}") - F.col(f"a{i}"))).alias(nm) for i, nm in enumerate(names)])
+    if by:  # a null group has no row, as in the ranked form
+        missed = missed.dropna(subset=by)
+    if missed.isEmpty():
+        return out
+    if not by:
+        return ranked_quantiles(df, col, qs, by, names)
+    return out.unionByName(ranked_quantiles(df.join(missed, on=by, how="left_semi"), col, qs, by, names))
+
+
+def ranked_quantiles(df: DataFrame, col: str, qs, by=(), names=None) -> DataFrame:
+    """The same quantiles from the ranks of all rows (``value_ranks``): writes the rows once."""
     from ..plans.blocks import value_ranks
     by = list(by)
     names = names or [f"q{int(round(q * 100)):02d}" for q in qs]
