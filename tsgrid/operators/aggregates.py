@@ -90,10 +90,9 @@ def bracketed_counts(rows: DataFrame, value: str, brackets: DataFrame, by=()) ->
     v = F.col(value)
     x = rows.where(v.isNotNull())
     x = x.join(brackets, on=list(by)) if by else x.crossJoin(F.broadcast(brackets))  # one row
-    part = F.transform("_b", lambda b: F.when(v < b["lo"], F.struct(b["i"].alias("i"), F.lit(None).cast("double").alias("v")))
-                       .when(v <= b["hi"], F.struct(b["i"].alias("i"), v.alias("v"))))
-    x = x.select(*by, "_n", F.explode(F.filter(part, lambda p: p.isNotNull())).alias("_e"))
-    return x.groupBy(*by, "_n", F.col("_e.i").alias("i"), F.col("_e.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    x = x.select(*by, "_n", v.alias("_x"), F.explode("_b").alias("_e")).where(F.col("_x") <= F.col("_e.hi"))
+    inside = F.when(F.col("_x") >= F.col("_e.lo"), F.col("_x"))
+    return x.groupBy(*by, "_n", F.col("_e.i").alias("i"), inside.alias("v")).agg(F.count(F.lit(1)).alias("c"))
 
 
 def exact_quantiles(df: DataFrame, col: str, qs, by=(), names=None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
