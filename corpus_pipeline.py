@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsgrid.llm.best_fit_packing import best_fit_packing
-from tsgrid.llm.common import materialize, small_broadcast, table
+from tsgrid.llm.common import TEXT_ROWS, arrow_batches, materialize, small_broadcast, table
 from tsgrid.llm.ngram_jaccard_join import ngram_jaccard_components
 from tsgrid.llm.quality_rules import quality_rules
 from tsgrid.llm.secret_scan import redact
@@ -62,7 +62,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     documents, by doc_id."""
     rows = _keyed(docs, "toxicity")
     labelled = rows.select(F.col("doc_id").alias(ROW), "text")
-    with temporary_tables(spark) as keep:
+    with temporary_tables(spark) as keep, arrow_batches(spark, TEXT_ROWS):
         verdicts = toxicity(rows, table(spark, sf_dir, "labels"), id_col=ROW, train_docs=labelled)
         keys = keep(_rejected(verdicts.where("predicted = 1"), "toxicity"))
     return _without(rows, keys)

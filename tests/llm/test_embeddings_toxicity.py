@@ -1,5 +1,7 @@
 """Embedding near-duplicates against brute force; toxicity's kernel and held-out accuracy."""
+import gc
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -106,6 +108,36 @@ def test_kernel_equals_enumeration_and_tolerates_gaps():
     assert "idiot" in tox.tokens_of("you i d i o t yes")
 
 
+def test_a_worker_holds_little_and_one_store():
+    from tsgrid.llm import best_fit_packing as packing
+    from tsgrid.llm import common
+    from tsgrid.llm.token_counts import public_path
+    words = [f"{a}{b}{c}ing" for a in "abcdefghij" for b in "aeiou" for c in "klmnopqrst"] * 12
+    table = tox.landmark_table(words[:300])
+    tracemalloc.start()
+    gc.disable()
+    try:
+        tox.kernel(words[:1000], table)
+        few = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        tox.kernel(words, table)
+        assert tracemalloc.get_traced_memory()[1] < 1.5 * few + len(words) * 300 * 8
+        store = tox.scored(table, np.zeros(300), 0.0)
+        before = tracemalloc.get_traced_memory()[0]
+        store.words_of(" ".join(f"w{i}" for i in range(100_000)))
+        assert tracemalloc.get_traced_memory()[0] > before + (8 << 20)
+        store.reset()
+        assert tracemalloc.get_traced_memory()[0] < before + (2 << 20), "a dropped store's words stay"
+    finally:
+        gc.enable()
+        tracemalloc.stop()
+    assert tox.scored(table, np.zeros(300), 0.0) is store
+    other = packing.words_of(public_path("word_bpe_49k.json"))
+    assert common._STORE[1] is other and packing.words_of(public_path("word_bpe_49k.json")) is other
+    common.no_store()
+    assert not common._STORE
+
+
 def test_held_out_accuracy_and_edges(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     top = docs.agg(F.max("doc_id")).first()[0]

@@ -102,3 +102,18 @@ def test_entry_registers_every_query():
     names = e.queries()
     assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
     assert importlib.util.find_spec("corpus_pipeline") is not None
+
+
+def test_the_toxicity_stage_sends_whole_texts_in_small_batches(spark, monkeypatch):
+    import corpus_pipeline as c
+    from tsgrid.llm import best_fit_packing, common, toxicity
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    before = spark.conf.get(key)
+    for module in (c, toxicity, best_fit_packing):
+        monkeypatch.setattr(module, "materialize", lambda df, name, f=module.materialize: (seen.update({name: int(spark.conf.get(key))}), f(df, name))[1])
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    c.clean(spark, docs, SF01)
+    c.packed(spark, docs.limit(50), SF01)
+    for name in ("toxic-segments", "rejected-toxicity", "pieces"):
+        assert seen[name] <= common.TEXT_ROWS < int(before)
+    assert spark.conf.get(key) == before

@@ -22,8 +22,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .byte_bpe import gather
-from .common import chunks, materialize, text_buffers
+from .common import TEXT_ROWS, arrow_batches, chunks, materialize, only_store, text_buffers
 from .ffd_packing import byte_letters
 from .token_counts import public_path
 
@@ -41,7 +40,6 @@ BLOCK, BLOCK_BYTES = 50_000, 16 << 20
 BINS = "size int, items array<long>, lengths array<int>"
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str):
     from tokenizers import Tokenizer
     return Tokenizer.from_file(path)
@@ -88,23 +86,17 @@ class WordRanks:
         return np.delete(found, lines), np.diff(lines, prepend=-1) - 1
 
 
-@lru_cache(maxsize=2)
-def word_ranks(path: str) -> WordRanks:
-    return WordRanks(path)
-
-
 class Words:
     """Ids of the white-space separated parts that this worker has met, encoded once each (dropped at LIMIT)."""
 
-    LIMIT = 1_000_000
+    LIMIT = 400_000
 
     def __init__(self, path: str):
-        self.tok, self.ranks = tokenizer(path), word_ranks(path)
+        self.tok, self.ranks = tokenizer(path), WordRanks(path)
         self.reset()
 
     def reset(self) -> None:
-        self.number: defaultdict[bytes, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
+        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)  # no reference to itself: freed at once
         self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def parts_of(self, text: bytes) -> np.ndarray:
@@ -146,9 +138,8 @@ class Words:
 _STOP = re.compile(rb"([a-z0-9])([.,])(?=\s|$)")
 
 
-@lru_cache(maxsize=1)
 def words_of(path: str) -> Words:
-    return Words(path)
+    return only_store(("packing", path), lambda: Words(path))
 
 
 def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
@@ -266,6 +257,7 @@ def best_fit_packing(docs: DataFrame, tokenizer_file: str | None = None, capacit
     path = tokenizer_file or public_path("word_bpe_49k.json")
     schema = "doc_id long, piece int, start long, length int, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    pieces = materialize(rows.mapInArrow(_pieces(path, end_id, capacity, with_ids), schema).withColumn("item", F.monotonically_increasing_id()), "pieces")
+    with arrow_batches(docs.sparkSession, TEXT_ROWS):
+        pieces = materialize(rows.mapInArrow(_pieces(path, end_id, capacity, with_ids), schema).withColumn("item", F.monotonically_increasing_id()), "pieces")
     placed = pack(pieces.select("item", "length"), capacity, slack)
     return (pieces.join(placed, "item").drop("item").withColumn("length", F.col("length").cast("long")))

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import arrow_batches, chunks, components, join_components, materialize, mix, small_broadcast, text_buffers
+from .common import arrow_batches, chunks, components, join_components, materialize, mix, no_store, small_broadcast, text_buffers
 
 #: Bytes that separate words, and upper-case ASCII.
 SPACE = np.zeros(256, bool)
@@ -211,6 +211,7 @@ def _sets_of(batch: pa.RecordBatch, text: str, n: int) -> tuple[np.ndarray, np.n
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows in blocks of about BLOCK_ROWS."""
+    no_store()
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)

@@ -35,7 +35,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import chunks, materialize, text_buffers
+from .common import TEXT_ROWS, arrow_batches, chunks, materialize, only_store, text_buffers
 
 SAMPLE = 4000
 LONGEST, SPAN, DECAY, POWER = 24, 6, 0.7, 3
 LANDMARKS, HARD, CLIP = (160, 120, 20), 4000, 3.0
 BLOCK_BYTES = 8 << 20
+#: Segments whose matches with the landmarks are held at once.
+KERNEL_ROWS = 1000
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>*#$%&|-_=+/\\~^`"
 _LOOKS, _OTHER = str.maketrans("013457@$", "oieastas"), re.compile(r"[\W\d_]+")
 _STEPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN - a)]
@@ -124,6 +126,13 @@ def landmark_table(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def kernel(segments: list[str], table: tuple) -> np.ndarray:
     """Normalised subsequence kernel of every segment with every landmark of the table."""
+    out = np.empty((len(segments), table[-1]))
+    for k in range(0, len(segments), KERNEL_ROWS):
+        out[k:k + KERNEL_ROWS] = _kernel(segments[k:k + KERNEL_ROWS], table)
+    return out
+
+
+def _kernel(segments: list[str], table: tuple) -> np.ndarray:
     used, first, z, theirs, m = table
     x, code, weight = subsequences(segments)
     place = np.minimum(np.searchsorted(used, code), max(0, len(used) - 1))
@@ -139,7 +148,9 @@ def margins_of(segments: list[str], table: tuple, to: np.ndarray, bias: float) -
     out = np.empty(len(segments))
     for k in range(0, len(segments), 10_000):
         part = segments[k:k + 10_000]
-        out[k:k + len(part)] = bias + kernel(part, table) ** POWER @ to
+        like = kernel(part, table)
+        like **= POWER
+        out[k:k + len(part)] = bias + like @ to
     return out
 
 
@@ -155,15 +166,14 @@ def _score(table: tuple, to: np.ndarray, bias: float, slope: float, offset: floa
 class Scored:
     """The best segment's margin of the words that this worker has met, scored once each (dropped at LIMIT)."""
 
-    LIMIT = 600_000
+    LIMIT = 400_000
 
     def __init__(self, table: tuple, to: np.ndarray, bias: float):
         self.table, self.to, self.bias = table, to, bias
         self.reset()
 
     def reset(self) -> None:
-        self.number: defaultdict[str, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
+        self.number: defaultdict[str, int] = defaultdict(count().__next__)  # no reference to itself: freed at once
         self.margin = np.zeros(0)
 
     def words_of(self, text: str) -> np.ndarray:
@@ -181,16 +191,10 @@ class Scored:
         return self.margin
 
 
-_SCORED: dict[bytes, Scored] = {}
-
-
 def scored(table: tuple, to: np.ndarray, bias: float) -> Scored:
     """The worker's store of a model; another model takes its place."""
     name = hashlib.blake2b(b"".join(np.ascontiguousarray(x).tobytes() for x in (*table[:4], to, np.array([bias])))).digest()
-    if name not in _SCORED:
-        _SCORED.clear()
-        _SCORED[name] = Scored(table, to, bias)
-    return _SCORED[name]
+    return only_store(("toxicity", name), lambda: Scored(table, to, bias))
 
 
 def text_margins(column: pa.Array, table: tuple, to: np.ndarray, bias: float) -> np.ndarray:
@@ -343,7 +347,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              per_class: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, margin, score, predicted) of every text; ``train_docs`` holds the labelled texts if ``docs`` doesn't."""
     ship_package(docs.sparkSession)
-    model = fit(training_sample(docs if train_docs is None else train_docs, labels, per_class, id_col, text_col))
+    with arrow_batches(docs.sparkSession, TEXT_ROWS):
+        model = fit(training_sample(docs if train_docs is None else train_docs, labels, per_class, id_col, text_col))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if model is None:
         scored = d.select("doc_id", F.lit(0.0).alias("margin"), F.lit(0.0).alias("score"))
